@@ -8,12 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import ColumnLike, as_column
-from tallyhouse.functions.text import before_blank, trim_controls
 
-_DAY_MONTH_YEAR = r"^(\d+)/(\d+)/(\d+)"
-_CLOCK = r"\s(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
-# Day and month numbers beyond this are taken as bad text, not as an offset.
-_LARGEST_PART = 99_999
+# Day and month of up to five digits (they may roll over), year of up to four.
+_DAY_MONTH_YEAR = r"^[\x00-\x20]*(\d{1,5})/(\d{1,5})/(\d{1,4})(?!\d)"
+_CLOCK = r"^[\x00-\x20]*\S+\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
 RECENT_DAYS = 30
 
 
@@ -22,6 +20,21 @@ def default_pivot_year(today: datetime.date | None = None) -> int:
     return ((today or datetime.date.today()).year + 20) % 100
 
 
+def is_date_text(text: ColumnLike) -> Column:
+    """True where :func:`lenient_date` finds a date; cheaper than parsing it."""
+    return as_column(text).rlike(_DAY_MONTH_YEAR)
+
+
+def _parts(text: ColumnLike, pivot_year: int | None) -> tuple[Column, Column, Column]:
+    """Day, month and full year numbers; null where the text is no date."""
+    pivot = default_pivot_year() if pivot_year is None else pivot_year
+    # An unmatched text gives empty groups, which try_cast turns into nulls.
+    day, month, year_text = (F.regexp_extract(as_column(text), _DAY_MONTH_YEAR, group) for group in (1, 2, 3))
+    number = year_text.try_cast("int")
+    century = F.when(F.length(year_text) != 2, 0).when(number < pivot, 2000).otherwise(1900)
+    return day.try_cast("int"), month.try_cast("int"), number + century
+
+
 def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     """Date from ``d/M/y`` text, rolling over-large days and months forward.
 
@@ -29,36 +42,22 @@ def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     years that start at the pivot; other digit counts are taken literally.
     Text that is no such date gives null.
     """
-    pivot = default_pivot_year() if pivot_year is None else pivot_year
-    token = before_blank(trim_controls(text))
-    # An unmatched text gives empty groups, which try_cast turns into nulls.
-    day, month, year_text = (F.regexp_extract(token, _DAY_MONTH_YEAR, group) for group in (1, 2, 3))
-    day, month, number = day.try_cast("int"), month.try_cast("int"), year_text.try_cast("int")
-    century = F.when(number < pivot, 2000).otherwise(1900)
-    year = F.when(F.length(year_text) == 2, century + number).otherwise(number)
-    in_range = (year <= 9999) & (month <= _LARGEST_PART) & (day <= _LARGEST_PART)
-    rolled = F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
-    return F.when(in_range, rolled)
+    day, month, year = _parts(text, pivot_year)
+    return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
 
 
 def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     """As :func:`lenient_date`, but days and months that do not exist give null."""
-    token = before_blank(trim_controls(text))
-    day = F.regexp_extract(token, _DAY_MONTH_YEAR, 1).try_cast("int")
-    month = F.regexp_extract(token, _DAY_MONTH_YEAR, 2).try_cast("int")
-    date = lenient_date(text, pivot_year)
-    return F.when((F.dayofmonth(date) == day) & (F.month(date) == month), date)
+    day, month, year = _parts(text, pivot_year)
+    return F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day).try_cast("date")
 
 
-def lenient_timestamp(text: ColumnLike, pivot_year: int | None = None) -> Column:
-    """:func:`lenient_date` plus the ``H:mm[:ss]`` that follows it, midnight if none."""
-    text = trim_controls(text)
+def clock_of(text: ColumnLike) -> Column:
+    """The ``H:mm[:ss]`` after a date text as an interval, zero if there is none."""
     hours, minutes, seconds = (
-        F.coalesce(F.regexp_extract(text, _CLOCK, group).try_cast("int"), F.lit(0)) for group in (1, 2, 3)
-    )
-    return lenient_date(text, pivot_year).cast("timestamp") + F.make_dt_interval(
-        F.lit(0), hours, minutes, seconds.cast("decimal(18,6)")
+        F.coalesce(F.regexp_extract(as_column(text), _CLOCK, group).try_cast("int"), F.lit(0)) for group in (1, 2, 3)
     )
+    return F.make_dt_interval(F.lit(0), hours, minutes, seconds.cast("decimal(18,6)"))
 
 
 def is_recent(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ def register_functions(spark: SparkSession) -> None:
     )
 
     @F.pandas_udf("long")
-    def text_length(texts: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def text_length(texts: pd.Series) -> pd.Series:
         return texts.str.len().astype("Int64")
 
     spark.udf.register("strLen", text_length)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.categories import category_of
-from tallyhouse.functions.dates import lenient_date, lenient_timestamp
+from tallyhouse.functions.dates import clock_of, is_date_text, lenient_date
 from tallyhouse.functions.text import trim_controls
 from tallyhouse.schemas import MALFORMED, RAW_TRANSACTION, RAW_TRANSACTION_FIELDS
 from tallyhouse.sources.files import drop_header
@@ -66,10 +66,9 @@ def _typed(raw: DataFrame, pivot_year: int | None, strict: bool) -> DataFrame:
             F.lit(UNKNOWN_COUNTRY).alias("pais"),
         ).alias("geolocalizacion"),
         lenient_date("when_text", pivot_year).alias("fecha"),
-        lenient_timestamp("when_text", pivot_year).alias("momento"),
         F.col("name").alias("nombre"),
         F.col("account").alias("cuentaCorriente"),
-    )
+    ).withColumn("momento", F.col("fecha").cast("timestamp") + clock_of("when_text"))
 
 
 def check_transactions(
@@ -91,7 +90,7 @@ def check_transactions(
         .when(F.col("importe").isNull(), "amount")
         .when(F.col("geolocalizacion.latitud").isNull(), "latitude")
         .when(F.col("geolocalizacion.longitud").isNull(), "longitude")
-        .when(F.col("fecha").isNull(), "date")
+        .when(~F.coalesce(is_date_text("when_text"), F.lit(False)), "date")
     )
     rebuilt = F.concat_ws(",", *[F.coalesce(F.col(field), F.lit("")) for field in RAW_TRANSACTION_FIELDS])
     line = F.when(F.col("reason").isNotNull(), F.coalesce(F.col(MALFORMED), rebuilt))

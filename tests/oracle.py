@@ -1,0 +1,83 @@
+"""Compare every registered query with its SQL twin in DuckDB.
+
+``python tests/oracle.py [sf_dir] [query ...]`` prints one line per query.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def open_oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def _rows(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return sorted(plain, key=lambda row: tuple((value is None, str(value)) for value in row))
+
+
+def differences(spark, connection, name: str, query, sql: str, sf_dir: str) -> list[str]:
+    """What differs between the two results; empty when they agree."""
+    found = query(spark, sf_dir)
+    expected = connection.execute(sql)
+    expected_columns = [column[0] for column in expected.description]
+    if sorted(found.columns) != sorted(expected_columns):
+        return [f"columns {sorted(found.columns)} != {sorted(expected_columns)}"]
+    left, right = _rows(found.columns, found.collect()), _rows(expected_columns, expected.fetchall())
+    if len(left) != len(right):
+        return [f"{len(left)} rows != {len(right)}"]
+    wrong = [(a, b) for a, b in zip(left, right) if a != b]
+    problems = [f"{len(wrong)} rows differ, first: {wrong[0]}"] if wrong else []
+    for position, column in enumerate(sorted(found.columns)):
+        kinds = {type(row[position]).__name__ for side in (left, right) for row in side if row[position] is not None}
+        if len(kinds) > 1:
+            problems.append(f"column {column} has types {sorted(kinds)}")
+    return problems
+
+
+def main() -> None:
+    from __spark_entry__ import oracle_sql, queries
+    from tallyhouse.session import build_session
+
+    arguments = sys.argv[1:]
+    sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
+    chosen = arguments[1:] or list(queries())
+    spark = build_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false"})
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, failed = open_oracle(sf_dir), 0
+    for name in chosen:
+        started = time.time()
+        try:
+            problems = differences(spark, connection, name, queries()[name], oracle_sql()[name], sf_dir)
+        except Exception as error:  # report and go on with the next query
+            problems = [f"{type(error).__name__}: {str(error)[:600]}"]
+        failed += bool(problems)
+        print(f"{'FAIL' if problems else 'ok  '} {name} {time.time() - started:.2f}s {'; '.join(problems)}", flush=True)
+    print(f"{len(chosen) - failed}/{len(chosen)} agree")
+
+
+if __name__ == "__main__":
+    main()
