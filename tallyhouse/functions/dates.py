@@ -25,14 +25,18 @@ def is_date_text(text: ColumnLike) -> Column:
     return as_column(text).rlike(_DAY_MONTH_YEAR)
 
 
+def _matched(text: ColumnLike, pattern: str, group: int) -> Column:
+    """The digits a group matched, null where it did not match."""
+    return F.nullif(F.regexp_extract(as_column(text), pattern, group), F.lit(""))
+
+
 def _parts(text: ColumnLike, pivot_year: int | None) -> tuple[Column, Column, Column]:
     """Day, month and full year numbers; null where the text is no date."""
     pivot = default_pivot_year() if pivot_year is None else pivot_year
-    # An unmatched text gives empty groups, which try_cast turns into nulls.
-    day, month, year_text = (F.regexp_extract(as_column(text), _DAY_MONTH_YEAR, group) for group in (1, 2, 3))
-    number = year_text.try_cast("int")
+    day, month, year_text = (_matched(text, _DAY_MONTH_YEAR, group) for group in (1, 2, 3))
+    number = year_text.cast("int")
     century = F.when(F.length(year_text) != 2, 0).when(number < pivot, 2000).otherwise(1900)
-    return day.try_cast("int"), month.try_cast("int"), number + century
+    return day.cast("int"), month.cast("int"), number + century
 
 
 def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
@@ -55,7 +59,7 @@ def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
 def clock_of(text: ColumnLike) -> Column:
     """The ``H:mm[:ss]`` after a date text as an interval, zero if there is none."""
     hours, minutes, seconds = (
-        F.coalesce(F.regexp_extract(as_column(text), _CLOCK, group).try_cast("int"), F.lit(0)) for group in (1, 2, 3)
+        F.coalesce(_matched(text, _CLOCK, group).cast("int"), F.lit(0)) for group in (1, 2, 3)
     )
     return F.make_dt_interval(F.lit(0), hours, minutes, seconds.cast("decimal(18,6)"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import ColumnLike, as_column
 
@@ -11,6 +12,31 @@ from tallyhouse.functions.columns import ColumnLike, as_column
 ADD, SUBTRACT, MULTIPLY, DIVIDE = "suma", "resta", "multiplicacion", "division"
 
 
+# What a text must look like before a cast to the type is tried: reading text
+# that cannot be cast costs an exception per row, a pattern does not.
+_BLANKS = "[\\x00-\\x20]*"
+_WHOLE = f"^{_BLANKS}[+-]?[0-9]+{_BLANKS}\\z"
+_FRACTIONAL = f"^{_BLANKS}[+-]?(?:[0-9.][0-9.eE+-]*|[nN][aA][nN]|[iI][nN][fF][a-zA-Z]*){_BLANKS}\\z"
+_LOOKS = {
+    T.ByteType: _WHOLE,
+    T.ShortType: _WHOLE,
+    T.IntegerType: _WHOLE,
+    T.LongType: _WHOLE,
+    T.FloatType: _FRACTIONAL,
+    T.DoubleType: _FRACTIONAL,
+    T.DecimalType: _FRACTIONAL,
+}
+
+
+def try_parse(text: ColumnLike, data_type: T.DataType) -> Column:
+    """The text as a value of the type, null where it is none."""
+    text = as_column(text)
+    looks = _LOOKS.get(type(data_type))
+    if looks is None:
+        return text.try_cast(data_type)
+    return F.when(text.rlike(looks), text).try_cast(data_type)
+
+
 def whole_number_or(text: ColumnLike, default: int) -> Column:
     """Integer from plain digits with an optional sign; anything else gives ``default``."""
     text = as_column(text)

@@ -1,0 +1,18 @@
+"""How rows are laid out over tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_over_cores(df: DataFrame) -> DataFrame:
+    """Even rows out over all cores when the input has at most one partition per core.
+
+    For work that costs much more per row than moving the row does: a file with
+    one row group is otherwise one task. Larger inputs, with several partitions
+    per core, are left where they are, and so are streams.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import lines_of, split_trimmed
+from tallyhouse.operators.layout import spread_over_cores
 
 # Shortest word left out, number of top words, and the stop lists
 # of the two jobs (the first name is spelled differently in each).
@@ -19,7 +20,8 @@ WORD_LENGTH_STOP_LIST = ("Quixote", "Sancho")
 
 def text_lines(texts: DataFrame, text: str = "text", keys: Sequence[str] = ()) -> DataFrame:
     """(keys, line_no, value): the lines of whole texts, numbered from 0."""
-    return texts.select(*keys, F.posexplode(lines_of(text)).alias("line_no", "value"))
+    whole = spread_over_cores(texts.select(*keys, text))
+    return whole.select(*keys, F.posexplode(lines_of(text)).alias("line_no", "value"))
 
 
 def words(lines: DataFrame, line: str = "value") -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.categories import category_of, with_category
 from tallyhouse.functions.dates import lenient_date, strict_date
-from tallyhouse.functions.numbers import calculate, whole_number_or
+from tallyhouse.functions.numbers import calculate, try_parse, whole_number_or
 from tallyhouse.functions.registered import register_functions
 from tallyhouse.functions.text import before_blank, drop_first, drop_last, split_trimmed, trim_controls
 from tallyhouse.queries.registry import AS_OF, SEGMENT_GROUPS, WITH_T, query, table, transactions
@@ -83,7 +84,7 @@ def cast_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(K_TEXT + "SELECT event_id, TRY_CAST(text AS INTEGER) AS k FROM texts")
 def cast_try(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numbers_as_text(spark, sf_dir).select("event_id", F.col("text").try_cast("int").alias("k"))
+    return _numbers_as_text(spark, sf_dir).select("event_id", try_parse("text", T.IntegerType()).alias("k"))
 
 
 @query(K_TEXT + "SELECT event_id, coalesce(TRY_CAST(text AS INTEGER), 25) AS k FROM texts")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import ColumnLike, as_column
+from tallyhouse.functions.numbers import try_parse
 from tallyhouse.functions.text import split_trimmed, trim_controls
 from tallyhouse.schemas import MALFORMED
 
@@ -74,7 +75,7 @@ def typed_fields(
     columns = []
     for position, field in enumerate(schema.fields):
         part = trim_controls(F.get(parts, position))
-        cast = part.cast(field.dataType) if strict else part.try_cast(field.dataType)
+        cast = part.cast(field.dataType) if strict else try_parse(part, field.dataType)
         columns.append(cast.alias(field.name))
     return df.select(*columns)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.categories import category_of
 from tallyhouse.functions.dates import clock_of, is_date_text, lenient_date
+from tallyhouse.functions.numbers import try_parse
 from tallyhouse.functions.text import trim_controls
 from tallyhouse.schemas import MALFORMED, RAW_TRANSACTION, RAW_TRANSACTION_FIELDS
 from tallyhouse.sources.files import drop_header
@@ -29,17 +31,12 @@ def raw_transactions_of(messages: DataFrame, value: str = "value") -> DataFrame:
     """The same eleven fields from a column of message texts, batch or stream."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
     columns = ", ".join(f"{field} string" for field in RAW_TRANSACTION.fieldNames())
-    fields = F.from_csv(F.col(value), columns, options)
-    blank = F.coalesce(F.trim(value), F.lit("")) == ""
-    return messages.select(
-        *[column for column in messages.columns if column != value],
-        fields.alias("_fields"),
-        F.when(blank, F.coalesce(F.col(value), F.lit(""))).alias("_blank"),
-    ).select(
-        *[column for column in messages.columns if column != value],
-        *[F.col(f"_fields.{field}").alias(field) for field in RAW_TRANSACTION_FIELDS],
-        F.coalesce(F.col(f"_fields.{MALFORMED}"), F.col("_blank")).alias(MALFORMED),
-    )
+    others = [column for column in messages.columns if column != value]
+    # Taken apart by a generator: every line is read once, not once per field.
+    fields = messages.select(*others, value, F.inline(F.array(F.from_csv(F.col(value), columns, options))))
+    text = F.coalesce(F.col(value), F.lit(""))
+    blank = F.when(F.trim(text) == "", text)
+    return fields.withColumn(MALFORMED, F.coalesce(MALFORMED, blank)).drop(value)
 
 
 def header_of(line: str) -> dict[str, str]:
@@ -50,7 +47,7 @@ def header_of(line: str) -> dict[str, str]:
 def _typed(raw: DataFrame, pivot_year: int | None, strict: bool) -> DataFrame:
     def number(field: str) -> Column:
         text = trim_controls(field)
-        return text.cast("double") if strict else text.try_cast("double")
+        return text.cast("double") if strict else try_parse(text, T.DoubleType())
 
     return raw.select(
         *[column for column in raw.columns if column not in RAW_TRANSACTION_FIELDS],
@@ -94,12 +91,14 @@ def check_transactions(
     )
     rebuilt = F.concat_ws(",", *[F.coalesce(F.col(field), F.lit("")) for field in RAW_TRANSACTION_FIELDS])
     line = F.when(F.col("reason").isNotNull(), F.coalesce(F.col(MALFORMED), rebuilt))
-    return (
+    checked = (
         _typed(raw, pivot_year, strict)
         .withColumn("reason", reason)
         .withColumn("line", line)
         .drop(*RAW_TRANSACTION_FIELDS, MALFORMED)
     )
+    # A filter on ``reason`` would otherwise move below the parsing and repeat it.
+    return checked.select(F.inline(F.array(F.struct(*checked.columns))))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
