@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -22,16 +19,13 @@ def union_bag(left: DataFrame, right: DataFrame, by_name: bool = False) -> DataF
 def intersect_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows in both, once each; nulls match nulls.
 
-    Both sides are made distinct first, inside the input tasks, so repeats never
-    travel; the built-in form matches all rows first and removes repeats after.
+    One grouping of both sides marks where each row occurs, so rows travel once
+    and repeats are folded inside the input tasks; the built-in form matches all
+    rows first and removes repeats after.
     """
-    right_side = right.distinct().toDF(*[f"_right_{i}" for i in range(len(right.columns))])
-    left_side = left.distinct()
-    same = functools.reduce(
-        operator.and_,
-        [left_side[column].eqNullSafe(right_side[f"_right_{i}"]) for i, column in enumerate(left.columns)],
-    )
-    return left_side.join(right_side, same, "left_semi")
+    sided = left.withColumn("_side", F.lit(1)).union(right.withColumn("_side", F.lit(2)))
+    seen = sided.groupBy(*left.columns).agg(F.bit_or("_side").alias("_sides"))
+    return seen.where(F.col("_sides") == 3).drop("_sides")
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

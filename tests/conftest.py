@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]", 8,
         {
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.checkpoint.dir": str(shared),
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.sql.streaming.stateStore.maintenanceInterval": "10m",
