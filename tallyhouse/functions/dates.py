@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.columns import ColumnLike, as_column
 
 # Day and month of up to five digits (they may roll over), year of up to four.
-_DAY_MONTH_YEAR = r"^[\x00-\x20]*(\d{1,5})/(\d{1,5})/(\d{1,4})(?!\d)"
+_DAY_MONTH_YEAR = r"^[\x00-\x20]*(\d{1,5}/\d{1,5}/\d{1,4})(?!\d)"
 _CLOCK = r"^[\x00-\x20]*\S+\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
 RECENT_DAYS = 30
 
@@ -20,25 +20,31 @@ def default_pivot_year(today: datetime.date | None = None) -> int:
     return ((today or datetime.date.today()).year + 20) % 100
 
 
-def is_date_text(text: ColumnLike) -> Column:
-    """True where :func:`lenient_date` finds a date; cheaper than parsing it."""
-    return as_column(text).rlike(_DAY_MONTH_YEAR)
-
-
 def _matched(text: ColumnLike, pattern: str, group: int) -> Column:
-    """The digits a group matched, null where it did not match."""
+    """What a group matched, null where it did not match."""
     return F.nullif(F.regexp_extract(as_column(text), pattern, group), F.lit(""))
 
 
-def _parts(text: ColumnLike, pivot_year: int | None) -> tuple[Column, Column, Column]:
-    """Day, month and full year numbers; null where the text is no date."""
+def date_parts(text: ColumnLike) -> Column:
+    """Day, month and year digits of ``d/M/y`` text as an array, null where it is no such date."""
+    return F.split(_matched(text, _DAY_MONTH_YEAR, 1), "/")
+
+
+def _numbers(parts: ColumnLike, pivot_year: int | None) -> tuple[Column, Column, Column]:
+    """Day, month and full year."""
     pivot = default_pivot_year() if pivot_year is None else pivot_year
-    day, month, year_text = (_matched(text, _DAY_MONTH_YEAR, group) for group in (1, 2, 3))
+    day, month, year_text = (F.get(as_column(parts), position) for position in range(3))
     number = year_text.cast("int")
     century = F.when(F.length(year_text) != 2, 0).when(number < pivot, 2000).otherwise(1900)
     return day.cast("int"), month.cast("int"), number + century
 
 
+def date_of_parts(parts: ColumnLike, pivot_year: int | None = None) -> Column:
+    """:func:`lenient_date` of parts found before; as a column of their own they are found once."""
+    day, month, year = _numbers(parts, pivot_year)
+    return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+
+
 def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     """Date from ``d/M/y`` text, rolling over-large days and months forward.
 
@@ -46,14 +52,14 @@ def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     years that start at the pivot; other digit counts are taken literally.
     Text that is no such date gives null.
     """
-    day, month, year = _parts(text, pivot_year)
-    return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+    return date_of_parts(date_parts(text), pivot_year)
 
 
 def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     """As :func:`lenient_date`, but days and months that do not exist give null."""
-    day, month, year = _parts(text, pivot_year)
-    return F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day).try_cast("date")
+    day, month, year = _numbers(date_parts(text), pivot_year)
+    possible = month.between(1, 12) & day.between(1, 31)
+    return F.when(possible, F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day)).try_cast("date")
 
 
 def clock_of(text: ColumnLike) -> Column:

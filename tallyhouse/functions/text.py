@@ -10,6 +10,8 @@ from tallyhouse.functions.columns import ColumnLike, as_column
 # Characters with a meaning in regular expressions.
 _REGEX_META = set("\\^$.|?*+()[]{}")
 
+_CONTROLS = "".join(map(chr, range(0x21)))
+
 
 def _literal_pattern(text: str) -> str:
     return "".join("\\" + ch if ch in _REGEX_META else ch for ch in text)
@@ -52,7 +54,7 @@ def lines_of(text: ColumnLike) -> Column:
 
 def trim_controls(text: ColumnLike) -> Column:
     """Strip blanks and control characters (up to U+0020) from both ends."""
-    return F.regexp_replace(as_column(text), "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z", "")
+    return F.btrim(as_column(text), F.lit(_CONTROLS))
 
 
 def drop_first(text: ColumnLike) -> Column:

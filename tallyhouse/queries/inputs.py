@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.text import row_text
+from tallyhouse.operators.layout import spread_over_cores
 from tallyhouse.plans.text import text_lines
 from tallyhouse.queries.registry import WITH_LINES, query, table
 from tallyhouse.schemas import PERSON
@@ -100,7 +101,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" City "), key % 7, F.lit(" ")), F.concat(F.lit("C"), F.col("o_custkey")),
         F.lit("u"), F.lit("51.5"), F.lit("-0.25"), F.concat(F.lit(" "), spending, F.lit(" ")),
     )
-    return orders.select(key.alias("tid"), F.when(key % 11 == 0, short).otherwise(full).alias("value"))
+    messages = orders.select(key.alias("tid"), F.when(key % 11 == 0, short).otherwise(full).alias("value"))
+    return spread_over_cores(messages)
 
 
 @query("""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.categories import category_of
-from tallyhouse.functions.dates import clock_of, is_date_text, lenient_date
+from tallyhouse.functions.dates import clock_of, date_of_parts, date_parts
 from tallyhouse.functions.numbers import try_parse
 from tallyhouse.functions.text import trim_controls
 from tallyhouse.schemas import MALFORMED, RAW_TRANSACTION, RAW_TRANSACTION_FIELDS
@@ -46,26 +46,43 @@ def header_of(line: str) -> dict[str, str]:
 
 def _typed(raw: DataFrame, pivot_year: int | None, strict: bool) -> DataFrame:
     def number(field: str) -> Column:
-        text = trim_controls(field)
-        return text.cast("double") if strict else try_parse(text, T.DoubleType())
+        return F.col(field).cast("double") if strict else try_parse(field, T.DoubleType())
 
-    return raw.select(
-        *[column for column in raw.columns if column not in RAW_TRANSACTION_FIELDS],
+    carried = [column for column in raw.columns if column not in RAW_TRANSACTION_FIELDS]
+    # Trimmed in a step of its own: the next one uses each text several times.
+    trimmed = raw.select(
+        *carried,
         *RAW_TRANSACTION_FIELDS,
-        number("amount_text").alias("importe"),
+        trim_controls("amount_text").alias("_amount"),
+        trim_controls("latitude_text").alias("_latitude"),
+        trim_controls("longitude_text").alias("_longitude"),
         trim_controls("description").alias("descripcion"),
-        category_of(trim_controls("description")).alias("categoria"),
-        F.col("card").alias("tarjetaCredito"),
+        date_parts("when_text").alias("_date"),
+    )
+    dated = trimmed.select(
+        "*",
+        date_of_parts("_date", pivot_year).alias("fecha"),
+        number("_amount").alias("importe"),
         F.struct(
-            number("latitude_text").alias("latitud"),
-            number("longitude_text").alias("longitud"),
+            number("_latitude").alias("latitud"),
+            number("_longitude").alias("longitud"),
             trim_controls("city").alias("ciudad"),
             F.lit(UNKNOWN_COUNTRY).alias("pais"),
         ).alias("geolocalizacion"),
-        lenient_date("when_text", pivot_year).alias("fecha"),
+    )
+    return dated.select(
+        *carried,
+        *RAW_TRANSACTION_FIELDS,
+        "importe",
+        "descripcion",
+        category_of("descripcion").alias("categoria"),
+        F.col("card").alias("tarjetaCredito"),
+        "geolocalizacion",
+        "fecha",
+        (F.col("fecha").cast("timestamp") + clock_of("when_text")).alias("momento"),
         F.col("name").alias("nombre"),
         F.col("account").alias("cuentaCorriente"),
-    ).withColumn("momento", F.col("fecha").cast("timestamp") + clock_of("when_text"))
+    )
 
 
 def check_transactions(
@@ -87,7 +104,7 @@ def check_transactions(
         .when(F.col("importe").isNull(), "amount")
         .when(F.col("geolocalizacion.latitud").isNull(), "latitude")
         .when(F.col("geolocalizacion.longitud").isNull(), "longitude")
-        .when(~F.coalesce(is_date_text("when_text"), F.lit(False)), "date")
+        .when(F.col("fecha").isNull(), "date")
     )
     rebuilt = F.concat_ws(",", *[F.coalesce(F.col(field), F.lit("")) for field in RAW_TRANSACTION_FIELDS])
     line = F.when(F.col("reason").isNotNull(), F.coalesce(F.col(MALFORMED), rebuilt))

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from tallyhouse.functions.categories import category_of, with_category
 from tallyhouse.functions.dates import (
     clock_of,
+    date_parts,
     default_pivot_year,
     epoch_seconds,
-    is_date_text,
     is_recent,
     lenient_date,
     strict_date,
@@ -64,7 +64,7 @@ DATES = {
 
 def test_lenient_date(spark):
     assert over(spark, DATES, lenient_date("x", pivot_year=46)) == list(DATES.values())
-    known = over(spark, DATES, F.coalesce(is_date_text("x"), F.lit(False)))
+    known = over(spark, DATES, date_parts("x").isNotNull())
     assert known == [date is not None for date in DATES.values()]
 
 
