@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -59,46 +58,55 @@ def fold_by_key(df: DataFrame, keys: Sequence[str], value: str, merge: Callable)
     """Combine each key's values with ``merge``, an associative and commutative function.
 
     For functions Spark does not have; use ``groupBy(...).agg(...)`` otherwise.
-    Every task first combines its own rows, partial results are then merged in
-    two levels, so that no task meets more than a slice of a hot key's partials.
+    Every task first combines its own rows. The partial results are then shuffled
+    and sorted by key, and each run of equal keys is merged as it streams by; this
+    happens once per slice of a key and once per key, so that no task meets more
+    than a slice of a hot key's partial results.
     Null values are left out. ``keys`` must not be null.
     """
     keys = list(keys)
-    fields = [df.schema[column] for column in [*keys, value]]
-    partial_schema = T.StructType([*fields, T.StructField("_slice", T.IntegerType())])
-    result_schema = T.StructType(fields)
+    columns = [*keys, "_slice", value]
+    schema = T.StructType([
+        *[df.schema[key] for key in keys], T.StructField("_slice", T.IntegerType()), df.schema[value]
+    ])
 
-    def frame(held: dict, part: int) -> pd.DataFrame:
-        rows = [(*key, total, part) for key, total in held.items()]
-        return pd.DataFrame(rows, columns=[*keys, value, "_slice"])
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=columns)
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
-        part = 0
         for batch in batches:
-            part = int(batch["_slice"].iloc[0]) if len(batch) else part
-            for *key, item in zip(*(batch[column] for column in keys), batch[value]):
+            for *key, item in zip(*(batch[column] for column in columns)):
                 key = tuple(key)
                 held[key] = merge(held[key], item) if key in held else item
             if len(held) >= _FOLD_KEYS:
-                yield frame(held, part)
+                yield frame([(*key, total) for key, total in held.items()])
                 held = {}
-        yield frame(held, part)
-
-    def merge_group(group: pd.DataFrame) -> pd.DataFrame:
-        first = group.iloc[:1].copy()
-        first[value] = [functools.reduce(merge, group[value])]
-        return first
-
-    sliced = df.select(*keys, value).where(F.col(value).isNotNull()).withColumn(
-        "_slice", F.pmod(F.spark_partition_id(), F.lit(_FOLD_FAN)).cast("int")
-    )
-    return (
-        sliced.mapInPandas(combine, partial_schema)
-        .groupBy(*keys, "_slice").applyInPandas(merge_group, partial_schema)
-        .drop("_slice")
-        .groupBy(*keys).applyInPandas(merge_group, result_schema)
-    )
+        yield frame([(*key, total) for key, total in held.items()])
+
+    def merge_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, total = None, None
+        for batch in batches:
+            finished = []
+            for *key, item in zip(*(batch[column] for column in columns)):
+                if key == current:
+                    total = merge(total, item)
+                else:
+                    if current is not None:
+                        finished.append((*current, total))
+                    current, total = key, item
+            yield frame(finished)
+        if current is not None:
+            yield frame([(*current, total)])
+
+    def merged(partials: DataFrame) -> DataFrame:
+        by = [*keys, "_slice"]
+        return partials.repartition(*by).sortWithinPartitions(*by).mapInPandas(merge_runs, schema)
+
+    present = df.select(*keys, value).where(F.col(value).isNotNull())
+    sliced = present.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(_FOLD_FAN)).cast("int"))
+    per_slice = merged(sliced.select(*columns).mapInPandas(combine, schema))
+    return merged(per_slice.withColumn("_slice", F.lit(0))).drop("_slice")
 
 
 def fold(df: DataFrame, value: str, merge: Callable) -> DataFrame:
