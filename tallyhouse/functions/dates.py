@@ -55,13 +55,18 @@ def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
     return date_of_parts(date_parts(text), pivot_year)
 
 
-def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
-    """As :func:`lenient_date`, but days and months that do not exist give null."""
-    day, month, year = _numbers(date_parts(text), pivot_year)
+def strict_date_of_parts(parts: ColumnLike, pivot_year: int | None = None) -> Column:
+    """:func:`strict_date` of parts found before."""
+    day, month, year = _numbers(parts, pivot_year)
     possible = month.between(1, 12) & day.between(1, 31)
     return F.when(possible, F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), month, day)).try_cast("date")
 
 
+def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
+    """As :func:`lenient_date`, but days and months that do not exist give null."""
+    return strict_date_of_parts(date_parts(text), pivot_year)
+
+
 def clock_of(text: ColumnLike) -> Column:
     """The ``H:mm[:ss]`` after a date text as an interval, zero if there is none."""
     hours, minutes, seconds = (

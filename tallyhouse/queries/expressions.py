@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.categories import category_of, with_category
-from tallyhouse.functions.dates import lenient_date, strict_date
+from tallyhouse.functions.dates import date_of_parts, date_parts, strict_date_of_parts
 from tallyhouse.functions.numbers import calculate, try_parse, whole_number_or
 from tallyhouse.functions.registered import register_functions
 from tallyhouse.functions.text import before_blank, drop_first, drop_last, split_trimmed, trim_controls
@@ -92,14 +92,14 @@ def cast_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numbers_as_text(spark, sf_dir).select("event_id", whole_number_or("text", 25).alias("k"))
 
 
-def _date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates as ``d/M/yy H:mm`` text, the month moved on by up to two (13 and 14 occur)."""
+def _date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of order dates given as ``d/M/yy H:mm`` text, the month moved on by up to two (13 and 14 occur)."""
     day = F.col("o_orderdate")
     text = F.concat(
         F.dayofmonth(day), F.lit("/"), F.month(day) + F.col("o_orderkey") % 3, F.lit("/"),
         F.lpad((F.year(day) % 100).cast("string"), 2, "0"), F.lit(" 6:17"),
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", date_parts(text).alias("parts"))
 
 
 @query("""
@@ -109,7 +109,7 @@ SELECT o_orderkey, CAST(make_date(year(o_orderdate), 1, 1)
 FROM orders
 """)
 def date_parse_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _date_texts(spark, sf_dir).select("o_orderkey", lenient_date("text", pivot_year=46).alias("date"))
+    return _date_parts(spark, sf_dir).select("o_orderkey", date_of_parts("parts", pivot_year=46).alias("date"))
 
 
 @query("""
@@ -118,7 +118,7 @@ SELECT o_orderkey, TRY_CAST(year(o_orderdate) || '-' || (month(o_orderdate) + o_
 FROM orders
 """)
 def date_parse_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _date_texts(spark, sf_dir).select("o_orderkey", strict_date("text", pivot_year=46).alias("date"))
+    return _date_parts(spark, sf_dir).select("o_orderkey", strict_date_of_parts("parts", pivot_year=46).alias("date"))
 
 
 @query("SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') AS days FROM orders")
