@@ -8,7 +8,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import minhash, mixing, piece_fst, quality_rules, token_files, top_k
+from tallyhouse.llm import (
+    html_text,
+    language_id,
+    minhash,
+    mixing,
+    pii,
+    piece_fst,
+    quality_rules,
+    secrets,
+    token_files,
+    top_k,
+)
 from tallyhouse.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +124,26 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op6_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+@query()
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))

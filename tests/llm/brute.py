@@ -62,3 +62,33 @@ def quality_base(text):
     n, r = len(found), len(repeated)
     symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
     return n, sum(map(len, found)), symbols, duplicated, r, n < 10 or 100 * r > 20 * n
+
+
+def luhn(digits):
+    doubled = [int(d) * (2 if i % 2 else 1) for i, d in enumerate(reversed(digits))]
+    return sum(sum(map(int, str(d))) for d in doubled) % 10 == 0
+
+
+def personal_base(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def secret_base(text):
+    text = text or ""
+    assign = r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
