@@ -322,7 +322,8 @@ def with_pieces(documents: DataFrame, model: str, text: str = "text", name: str
     """All columns and the ids of ``text`` as ``name`` (which replaces a column of that name)."""
     codec = Codec(model)
     kept = documents.drop(name) if name != text else documents
-    place = kept.columns.index(text)
+    names = kept.columns
+    place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,7 +333,7 @@ def with_pieces(documents: DataFrame, model: str, text: str = "text", name: str
                 offsets = np.cumsum([0, *(len(one) // 4 for one in packed)]).astype(np.int32)
                 values = np.frombuffer(b"".join(packed), np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*piece.columns, ids], names=[*kept.columns, name])
+                yield pa.RecordBatch.from_arrays([*piece.columns, ids], names=[*names, name])
 
     schema = T.StructType([*kept.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
     return kept.mapInArrow(run, schema)
