@@ -10,6 +10,7 @@ committer, so a lost task leaves nothing behind), in order of (part, block).
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -17,80 +18,109 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import map_rows
 from tallyhouse.session import write_through
 
 MAGIC = b"TLB1"
 _LENGTHS = np.array([[(control >> 2 * i & 3) + 1 for i in range(4)] for control in range(256)], np.uint8)
-# Words whose ids a worker remembers.
-_WORDS_HELD = 400_000
-# White space next to a single space: such a text is encoded whole, not word by word.
-_UNEVEN = re.compile(r"^ |\s |\x20(?:\s|$)")
+# Pieces of texts whose ids a worker remembers, and code points cut into pieces at a time.
+_PIECES_HELD = 900_000
+_AT_A_TIME = 1_000_000
+_LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
+_STOPS = ".,;:!?#*$%&"
+_PIECE = re.compile(rf" ?{_LATIN}+(?=[ \n{_STOPS}]|\Z)|[{_STOPS}]+(?=[ \n]|\Z)|\n| ?[^ \n]+")
 
 
 class Encoder:
-    """Ids of whole texts. Words between single spaces are encoded once and remembered.
+    """Ids of whole texts. Pieces that the tokenizer takes apart anyway are encoded once and remembered.
 
-    A byte-level pre-tokenizer starts a new piece at a single space between two
-    characters that are not white space, so the ids of a text are those of its pieces.
+    A byte-level pre-tokenizer starts anew at a single space, around a single line end, and
+    between a letter and a stop, so the ids of a text are those of its pieces. A text
+    with white space beside white space, or at an end, is encoded whole.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
-        self.path, self.end_id, self.tokenizer = path, end_id, None
-
-    def __getstate__(self) -> dict:
-        return {"path": self.path, "end_id": self.end_id, "tokenizer": None}
-
-    def open(self) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(self.path)
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.end = np.array([self.end_id], self.kind).tobytes()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind = id_kind(self.tokenizer, end_id)
+        self.end = np.array([end_id], self.kind).tobytes()
         self.held: dict[str, bytes] = {}
+        self.compressor = zstandard.ZstdCompressor(level=1)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.kind).tobytes() for one in found]
 
-    def row(self, doc_id: int | None, text: str | None) -> tuple:
-        if self.tokenizer is None:
-            self.open()
-        if not text:
-            return doc_id, self.end
-        if _UNEVEN.search(text):
-            return doc_id, self.encode_all([text])[0] + self.end
-        first, *others = text.split(" ")
-        words = [first, *map(" ".__add__, others)]
+    def rows(self, texts: list[str]) -> list[bytes]:
+        """Compressed ids of each text, the end id last."""
+        pieces = [_PIECE.findall(text) if even(text) else [text] for text in texts]
         held = self.held
-        try:
-            return doc_id, b"".join([held[word] for word in words]) + self.end
-        except KeyError:
-            pass
-        if len(held) > _WORDS_HELD:
+        if len(held) > _PIECES_HELD:
             held.clear()
-        missing = [word for word in dict.fromkeys(words) if word not in held]
+        missing = list(set().union(*pieces).difference(held))
         held.update(zip(missing, self.encode_all(missing)))
-        return doc_id, b"".join([held[word] for word in words]) + self.end
+        end, compress = self.end, self.compressor.compress
+        rows = [compress(b"".join(map(held.__getitem__, some)) + end) for some in pieces]
+        for one in missing:
+            if len(one) > 100:
+                del held[one]
+        return rows
+
+
+def even(text: str) -> bool:
+    """Whether white space stands alone everywhere, and neither first nor last."""
+    words = text.split()
+    return bool(words) and len(words) - 1 + sum(map(len, words)) == len(text) and not (text[0].isspace() or text[-1].isspace())
+
+
+def id_kind(tokenizer, end_id: int) -> type:
+    return np.uint16 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 def encoded(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
-    """doc_id and the ids of each whole text as little-endian bytes, ``end_id`` last."""
-    return map_rows(documents, ["doc_id", "text"], Encoder(path, end_id).row, "doc_id long, ids binary")
+    """doc_id and the ids of each whole text, ``end_id`` last: compressed little-endian bytes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (path, end_id) not in _encoders:
+            _encoders[path, end_id] = Encoder(path, end_id)
+        encoder = _encoders[path, end_id]
+        for batch in batches:
+            names, texts, size = [], [], 0
+            for i in range(batch.num_rows):
+                names.append(batch.column(0)[i].as_py())
+                texts.append(batch.column(1)[i].as_py() or "")
+                size += len(texts[-1])
+                if size >= _AT_A_TIME or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names, pa.int64()), pa.array(encoder.rows(texts), pa.binary())], schema=schema
+                    )
+                    names, texts, size = [], [], 0
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+
+
+def unzipped(value: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(value.as_py()), kind)
 
 
-def id_counts(ids: DataFrame, kind: np.dtype) -> DataFrame:
+def id_counts(ids: DataFrame, kind: type) -> DataFrame:
     """(id, n): counted in each task first, so a task sends at most one row per id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                more = np.bincount(np.frombuffer(value.as_buffer(), kind), minlength=len(counts))
+                more = np.bincount(unzipped(value, kind), minlength=len(counts))
                 more[: len(counts)] += counts
                 counts = more
         found = np.flatnonzero(counts)
@@ -159,8 +189,8 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: i
     from tokenizers import Tokenizer
 
     spark = documents.sparkSession
-    size = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
-    kind = np.uint16 if size <= 1 << 16 else np.uint32
+    opened = Tokenizer.from_file(tokenizer)
+    size, kind = max(opened.get_vocab_size(), end_id + 1), id_kind(opened, end_id)
     ids = write_through(encoded(documents, tokenizer, end_id))
     order = [row["id"] for row in id_counts(ids, kind).orderBy(F.desc("n"), "id").collect()]
     spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.mode("overwrite").parquet(f"{path}/ranks")
@@ -179,7 +209,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: i
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 names.append(name)
-                held.append(np.frombuffer(value.as_py(), kind))
+                held.append(unzipped(value, kind))
                 total += len(held[-1])
                 if total >= block_ids:
                     yield done()
