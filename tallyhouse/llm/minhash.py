@@ -5,9 +5,9 @@ word shingles, hashed to 64 bits, and the set a signature; (2) documents of equa
 form one class and only its smallest id goes on, so a group of exact copies is one row;
 (3) bands of the signature are grouped, and every member of a bucket is paired with the
 bucket's hub, never with all others; (4) pairs are confirmed on full shingle sets;
-(5) confirmed links are merged; (6) buckets that still hold members of several
-components are compared in blocks by their signatures, and what looks linked is
-confirmed too, so that a bucket's hub decides nothing by itself.
+(5) confirmed links are merged; (6) buckets that still hold members of several components
+are compared in blocks, by signature and then by full sets, so that the choice of hubs
+decides nothing. A block hands on no pairs but links that connect its rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.components import component_labels
+from tallyhouse.llm.components import component_labels, union_find
 from tallyhouse.session import write_through
 
 # Registers of a signature; a power of two, so that odd steps visit every register once.
@@ -29,8 +29,8 @@ REGISTERS = 256
 BANDS, BAND_WIDTH = 42, 6
 # Signature agreement under which a pair is not confirmed: six deviations under 0.8.
 _LIKELY = 0.65
-# Members of one block when buckets are compared inside.
-_BLOCK = 1500
+# Members and shingles of one block when buckets are compared inside.
+_BLOCK, _BLOCK_SHINGLES = 1500, 2_000_000
 _WORDS_HELD = 400_000
 _U = np.uint64
 _held_words: dict[bytes, int] = {}
@@ -179,73 +179,127 @@ def similar_sizes(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * 80
 
 
-def confirm(pairs: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * common >= 80 * union.
-
-    Only texts that occur in a pair are turned into sets. The sets come from the
-    documents again, since a table of all sets would outweigh the texts.
-    """
-    ends = write_through(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    wanted = documents.select("doc_id", "text").join(ends, "doc_id", "left_semi")
-    # Rows that share an id share a node; one text stands for it in a comparison.
-    sets = write_through(shingle_table(wanted, width))
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have 100 * common >= 80 * union."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     counted = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("total"))
-    return counted.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * 80).select("a", "b")
+    return counted.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * 80).select("a", "b").distinct()
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that lie in different components and whose sketches agree."""
-    table = pa.Table.from_batches(list(batches))
-    ids = table.column("rep").to_numpy()
-    labels = table.column("component").to_numpy()
-    sizes = table.column("n_shingles").to_numpy()
-    halves = table.column("half").to_numpy()
-    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), REGISTERS)
-    first, second = np.flatnonzero(halves < 2), np.flatnonzero(halves != 1)
-    found_a, found_b = [], []
-    for i in first:
+def _undecided(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(rep, hash, n_shingles, component) of buckets with members of several components.
+
+    The hub has met both members of a bucket of two, so larger ones are left.
+    """
+    marked = buckets.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")
+    )
+    several = marked.groupBy("hash").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+    ).where("low < high AND members > 2").select("hash")
+    return marked.join(several, "hash", "left_semi")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's hub with its other members.
+
+    The hub has the bucket's smallest draw, so that it is the same one in most buckets of
+    a group and its pairs with a member are one pair.
+    """
+    member = F.struct(F.xxhash64("rep").alias("draw"), "rep", "n_shingles")
+    hubs = members.groupBy("hash").agg(F.min(member).alias("hub"))
+    hub = F.col("hub.rep")
+    return members.join(hubs, "hash").where(
+        (hub != F.col("rep")) & similar_sizes("hub.n_shingles", "n_shingles")
+    ).select(F.least(hub, "rep").alias("a"), F.greatest(hub, "rep").alias("b")).distinct()
+
+
+def _agreeing(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, other rows) of one cell: other component, sizes and sketches that allow a link.
+
+    A pair that shares several buckets is met in the first of them only. Rows of half 1
+    and 2 are two blocks of a bucket, rows of half 0 are one block compared with itself.
+    """
+    ids, labels = table.column("rep").to_numpy(), table.column("component").to_numpy()
+    sizes, halves = table.column("n_shingles").to_numpy(), table.column("half").to_numpy()
+    sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    here = bands == table.column("hash")[0].as_py()
+    band = int(np.argmax(here[0]))
+    second = np.flatnonzero(halves != 1)
+    for i in np.flatnonzero(halves < 2):
         other = second[labels[second] != labels[i]]
-        other = other[ids[other] > ids[i]] if halves[i] == 0 else other
+        if halves[i] == 0:
+            other = other[ids[other] > ids[i]]
         small, large = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
         other = other[small * 100 >= large * 80]
+        if band and len(other):
+            other = other[~(bands[other, :band] == bands[i, :band]).any(axis=1)]
+        if len(other):
+            other = other[(sketches[other] == sketches[i]).mean(axis=1) >= _LIKELY]
         if len(other):
-            agree = (sketches[other] == sketches[i]).mean(axis=1)
-            near = other[agree >= _LIKELY]
-            found_a += [ids[i]] * len(near)
-            found_b += list(ids[near])
-    a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            yield int(i), other
 
 
-def _across(buckets: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs inside buckets between different components whose sketches look linked.
+def _likely(table: pa.Table) -> pa.Table:
+    """(hash, rep) of the rows of a cell that look linked with another one."""
+    found: set[int] = set()
+    for i, other in _agreeing(table):
+        found.add(i)
+        found.update(other.tolist())
+    return table.select(["hash", "rep"]).take(pa.array(sorted(found), pa.int64()))
 
-    ``buckets`` has (hash, rep). A large bucket is cut into blocks and each pair of
-    blocks is one group, so that a group holds at most two blocks' rows. The hub has met
-    both members of a bucket of two, so larger ones are left.
+
+def _linked(table: pa.Table) -> pa.Table:
+    """The links inside a cell, confirmed on full sets, as few as connect the same rows."""
+    ids = table.column("rep").to_numpy()
+    lists = table.column("shingles").combine_chunks()
+    starts = lists.offsets.to_numpy()
+    names, places = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    sizes, present = np.diff(starts), np.zeros(len(names), np.int64)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i, other in _agreeing(table):
+        present[places[starts[i] : starts[i + 1]]] = 1
+        common = np.array([present[places[starts[j] : starts[j + 1]]].sum() for j in other])
+        present[places[starts[i] : starts[i + 1]]] = 0
+        met = other[100 * common >= 80 * (sizes[i] + sizes[other] - common)]
+        left.append(np.full(len(met), ids[i]))
+        right.append(ids[met])
+    a, b = union_find(np.concatenate(left), np.concatenate(right))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """``rows`` (hash, rep, n_shingles, ...) once for each pair of blocks (x, y) of their bucket.
+
+    A bucket has as many blocks as keep each within ``_BLOCK`` rows and ``_BLOCK_SHINGLES``, about.
     """
-    marked = buckets.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / _BLOCK), F.ceil(F.sum("n_shingles") / _BLOCK_SHINGLES))
+    counted = rows.groupBy("hash").agg(blocks.cast("int").alias("blocks"))
+    block, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    spread = rows.join(counted, "hash").withColumn("block", block).withColumn("other", F.explode(other))
+    half = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    return spread.select(
+        *rows.columns, F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), half.alias("half")
     )
-    mixed = marked.groupBy("hash").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
-    ).where("low < high AND members > 2").drop("low", "high")
-    blocks = F.ceil(F.col("members") / _BLOCK).cast("int")
-    inside = marked.join(mixed, "hash").withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+
+
+def _across(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) inside buckets between different components; ``members`` as from :func:`_undecided`.
+
+    Rows whose sketches look linked with none go first; sets are sent for the others only.
+    """
+    signed_rows = members.select("hash", "rep", "component").join(
+        classes.select("rep", "n_shingles", "sketch", "bands"), "rep"
     )
-    cells = inside.join(reps.select("rep", "n_shingles", "sketch"), "rep").withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).select(
-        "hash", "rep", "component", "n_shingles", "sketch",
-        F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("half"),
+    likely = write_through(
+        _cells(signed_rows).groupBy("hash", "x", "y").applyInArrow(_likely, "hash long, rep long").distinct()
     )
-    return cells.groupBy("hash", "x", "y").applyInArrow(_compared, "a long, b long").distinct()
+    full = signed_rows.join(likely, ["hash", "rep"], "left_semi").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return _cells(full).groupBy("hash", "x", "y").applyInArrow(_linked, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, width: int = 5) -> DataFrame:
@@ -267,27 +321,20 @@ def near_duplicates(documents: DataFrame, width: int = 5) -> DataFrame:
         )
     )
     entries = classes.select("rep", "n_shingles", F.explode("bands").alias("hash"))
-    # The hub is the member of the smallest draw, the same one in most of a group's buckets.
-    member = F.struct(F.xxhash64("rep").alias("draw"), "rep", "n_shingles")
-    hubs = entries.groupBy("hash").agg(F.min(member).alias("hub"), F.max(member).alias("far")).where(
-        "hub.rep <> far.rep"
-    ).select("hash", "hub")
-    buckets = write_through(entries.join(hubs, "hash"))
-    hub = F.col("hub.rep")
-    stars = write_through(buckets.where((hub != F.col("rep")) & similar_sizes("hub.n_shingles", "n_shingles")).select(
-        F.least(hub, "rep").alias("a"), F.greatest(hub, "rep").alias("b")
-    ).distinct())
-    first = write_through(confirm(stars, documents, width))
+    shared = entries.groupBy("hash").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    buckets = write_through(entries.join(shared.select("hash"), "hash", "left_semi"))
+    # Rows that share an id share a node; any of its texts can confirm a link.
+    members = write_through(buckets.select(F.col("rep").alias("doc_id")).distinct())
+    sets = write_through(shingle_table(documents.join(members, "doc_id", "left_semi"), width))
+    stars = _stars(buckets)
+    links = write_through(confirm(write_through(stars), sets))
+    left = write_through(_undecided(buckets, component_labels(links)))
+    across = write_through(_across(left, classes, sets))
     # Members of a class link with its smallest id.
     same = named.join(classes.select("digest", "rep"), "digest").where("doc_id <> rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b")
     )
-    labels = component_labels(first)
-    across = write_through(
-        _across(buckets.select("hash", "rep"), labels, classes).join(stars, ["a", "b"], "left_anti")
-    )
-    links = first.union(confirm(across, documents, width)).union(same)
-    final = component_labels(links)
+    final = component_labels(links.union(across).union(same))
     joined = table.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return joined.select(
