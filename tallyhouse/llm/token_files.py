@@ -10,6 +10,7 @@ committer, so a lost task leaves nothing behind), in order of (part, block).
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -32,7 +33,11 @@ _PIECES_HELD = 900_000
 _AT_A_TIME = 1_000_000
 _LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 _STOPS = ".,;:!?#*$%&"
-_PIECE = re.compile(rf" ?{_LATIN}+(?=[ \n{_STOPS}]|\Z)|[{_STOPS}]+(?=[ \n]|\Z)|\n| ?[^ \n]+")
+# The white space of the tokenizer's own pattern.
+_BLANK = r" \t-\r\x85\xa0  -     　"
+_PIECE = re.compile(
+    rf"[{_BLANK}][{_BLANK}]+| ?{_LATIN}+(?=[ \n{_STOPS}]|\Z)|[{_STOPS}]+(?=[ \n]|\Z)| ?[^{_BLANK}]+|[{_BLANK}]"
+)
 
 
 class Encoder:
@@ -40,7 +45,8 @@ class Encoder:
 
     A byte-level pre-tokenizer starts anew at a single space, around a single line end, and
     between a letter and a stop, so the ids of a text are those of its pieces. A text
-    with white space beside white space, or at an end, is encoded whole.
+    with white space beside white space is encoded whole, and so is every text if the
+    tokenizer splits in another way.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -52,33 +58,54 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.held: dict[str, bytes] = {}
         self.compressor = zstandard.ZstdCompressor(level=1)
+        described = json.loads(self.tokenizer.to_str())
+        splits = described["pre_tokenizer"] or {}
+        self.cuts = (
+            splits.get("type") == "ByteLevel" and splits.get("use_regex", True)
+            and not splits.get("add_prefix_space") and not described["normalizer"]
+        )
+        # Whether an id starts with a space, which a byte-level vocabulary writes as this letter.
+        size = max(self.tokenizer.get_vocab_size(), end_id + 1)
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.kind).tobytes() for one in found]
 
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each piece; words with a space in front go through the tokenizer in one text."""
+        words = [one for one in pieces if one[0] == " " and one[1:].isalpha()]
+        others = [one for one in pieces if not (one[0] == " " and one[1:].isalpha())]
+        made = dict(zip(others, self.encode_all(others)))
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        starts = np.flatnonzero(self.spaced[ids])
+        data, width = ids.tobytes(), ids.itemsize
+        places = (starts * width).tolist()
+        made.update(zip(words, map(data.__getitem__, map(slice, places, [*places[1:], len(data)]))))
+        return made
+
     def rows(self, texts: list[str]) -> list[bytes]:
         """Compressed ids of each text, the end id last."""
-        pieces = [_PIECE.findall(text) if even(text) else [text] for text in texts]
-        held = self.held
+        held, end, compress = self.held, self.end, self.compressor.compress
         if len(held) > _PIECES_HELD:
             held.clear()
-        missing = list(set().union(*pieces).difference(held))
-        held.update(zip(missing, self.encode_all(missing)))
-        end, compress = self.end, self.compressor.compress
+        if not self.cuts:
+            return [compress(one + end) for one in self.encode_all(texts)]
+        pieces = list(map(_PIECE.findall, texts))
+        missing = set().union(*pieces).difference(held)
+        runs = {one for one in missing if len(one) > 1 and one.isspace()}
+        if runs:
+            pieces = [some if runs.isdisjoint(some) else [text] for some, text in zip(pieces, texts)]
+            missing = set().union(*pieces).difference(held)
+        held.update(self.encode_pieces(list(missing)))
         rows = [compress(b"".join(map(held.__getitem__, some)) + end) for some in pieces]
+        # Long pieces, whole texts among them, and runs of white space are met anew each time.
         for one in missing:
-            if len(one) > 100:
+            if len(one) > 100 or one.isspace():
                 del held[one]
         return rows
 
 
-def even(text: str) -> bool:
-    """Whether white space stands alone everywhere, and neither first nor last."""
-    words = text.split()
-    return bool(words) and len(words) - 1 + sum(map(len, words)) == len(text) and not (text[0].isspace() or text[-1].isspace())
-
-
 def id_kind(tokenizer, end_id: int) -> type:
     return np.uint16 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
 
@@ -119,8 +146,9 @@ def id_counts(ids: DataFrame, kind: type) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                more = np.bincount(unzipped(value, kind), minlength=len(counts))
+            for start in range(0, batch.num_rows, 256):
+                some = [unzipped(value, kind) for value in batch.column(0).slice(start, 256)]
+                more = np.bincount(np.concatenate(some), minlength=len(counts))
                 more[: len(counts)] += counts
                 counts = more
         found = np.flatnonzero(counts)
