@@ -272,13 +272,14 @@ def _linked(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """``rows`` (hash, rep, n_shingles, ...) once for each pair of blocks (x, y) of their bucket.
+def _cells(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` (hash, rep, ...) once for each pair of blocks (x, y) of their bucket.
 
-    A bucket has as many blocks as keep each within ``_BLOCK`` rows and ``_BLOCK_SHINGLES``, about.
+    ``sizes`` has (hash, n_shingles) of the same rows: a bucket has as many blocks as keep
+    each within ``_BLOCK`` rows and ``_BLOCK_SHINGLES``, about.
     """
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / _BLOCK), F.ceil(F.sum("n_shingles") / _BLOCK_SHINGLES))
-    counted = rows.groupBy("hash").agg(blocks.cast("int").alias("blocks"))
+    counted = sizes.groupBy("hash").agg(blocks.cast("int").alias("blocks"))
     block, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
     spread = rows.join(counted, "hash").withColumn("block", block).withColumn("other", F.explode(other))
     half = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
@@ -292,14 +293,14 @@ def _across(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
 
     Rows whose sketches look linked with none go first; sets are sent for the others only.
     """
-    signed_rows = members.select("hash", "rep", "component").join(
-        classes.select("rep", "n_shingles", "sketch", "bands"), "rep"
-    )
+    signatures = classes.select("rep", "sketch", "bands")
+    first = _cells(members.join(signatures, "rep"), members)
     likely = write_through(
-        _cells(signed_rows).groupBy("hash", "x", "y").applyInArrow(_likely, "hash long, rep long").distinct()
+        first.groupBy("hash", "x", "y").applyInArrow(_likely, "hash long, rep long").distinct()
+        .join(members, ["hash", "rep"])
     )
-    full = signed_rows.join(likely, ["hash", "rep"], "left_semi").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
-    return _cells(full).groupBy("hash", "x", "y").applyInArrow(_linked, "a long, b long").distinct()
+    full = likely.join(signatures.join(sets.withColumnRenamed("doc_id", "rep"), "rep"), "rep")
+    return _cells(full, likely).groupBy("hash", "x", "y").applyInArrow(_linked, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, width: int = 5) -> DataFrame:
