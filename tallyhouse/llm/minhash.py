@@ -228,7 +228,7 @@ def _agreeing(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
     bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
     here = bands == table.column("hash")[0].as_py()
-    band = int(np.argmax(here[0]))
+    band = int(np.argmax(here.any(axis=0)))
     second = np.flatnonzero(halves != 1)
     for i in np.flatnonzero(halves < 2):
         other = second[labels[second] != labels[i]]
