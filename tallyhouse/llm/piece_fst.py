@@ -37,8 +37,8 @@ UNKNOWN_PENALTY = 10.0
 # Characters that often follow a word.
 STOPS = ".,;:!?#*$%&"
 LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
-_SEGMENTS_HELD = 800_000
-_PAIRS_HELD = 2_000_000
+_SEGMENTS_HELD = 300_000
+_PAIRS_HELD = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -196,45 +196,9 @@ class Transducer:
 
     def path(self, text: str) -> list[int]:
         """Ids on the path of least weight through the composition with ``text``, already normalised."""
-        size, scores, merging, allowed = len(text), self.model.scores, self.merging, self.allowed
-        # Per position: piece that ends there -> (weight, start, piece before).
-        reached: list[dict] = [{} for _ in range(size + 1)]
-        reached[0][""] = (0.0, 0, "")
-        for start in range(size):
-            here = reached[start]
-            if not here:
-                continue
-            node, place = self.trie, start
-            arcs = []
-            while place < size:
-                node = node.get(text[place])
-                if node is None:
-                    break
-                place += 1
-                if "" in node:
-                    arcs.append((place, -scores[node[""]]))
-            if text[start] not in self.ids:
-                arcs.append((start + 1, self.unknown_weight))
-            for end, weight in arcs:
-                piece = text[start:end]
-                best = None
-                for before, (cost, _, _) in here.items():
-                    if merging and before and not allowed(before, piece):
-                        continue
-                    if best is None or cost + weight < best[0]:
-                        best = (cost + weight, start, before)
-                if best is not None:
-                    held = reached[end].get(piece)
-                    if held is None or best < held:
-                        reached[end][piece] = best
-        piece = min(reached[size], key=lambda p: reached[size][p][0])
-        pieces, place = [], size
-        while place:
-            pieces.append(piece)
-            _, start, before = reached[place][piece]
-            piece, place = before, start
+        pieces = self.accepted(text) if self.merging else self.lightest(text)
         ids: list[int] = []
-        for piece in reversed(pieces):
+        for piece in pieces:
             i = self.ids.get(piece)
             if i is not None:
                 ids.append(i)
@@ -244,6 +208,64 @@ class Transducer:
                 ids.append(self.unknown)
         return ids
 
+    def ends(self, text: str, start: int) -> list[int]:
+        """Where the arcs that begin at ``start`` end, the shortest first."""
+        node, place, found = self.trie, start, []
+        size = len(text)
+        while place < size:
+            node = node.get(text[place])
+            if node is None:
+                break
+            place += 1
+            if "" in node:
+                found.append(place)
+        if text[start] not in self.ids:
+            found.insert(0, start + 1)
+        return found
+
+    def accepted(self, text: str) -> list[str]:
+        """The only path of finite weight, found depth first with long pieces first.
+
+        States are (position, last piece); one that leads nowhere is entered once.
+        """
+        size, place, allowed = len(text), 0, self.allowed
+        pieces: list[str] = []
+        choices = [self.ends(text, 0)]
+        dead: set[tuple[int, str]] = set()
+        while place < size:
+            if choices[-1]:
+                end = choices[-1].pop()
+                piece = text[place:end]
+                if pieces and not allowed(pieces[-1], piece) or (end, piece) in dead:
+                    continue
+                pieces.append(piece)
+                place = end
+                if place < size:
+                    choices.append(self.ends(text, place))
+            else:
+                choices.pop()
+                piece = pieces.pop()
+                dead.add((place, piece))
+                place -= len(piece)
+        return pieces
+
+    def lightest(self, text: str) -> list[str]:
+        """The path of least weight of a model without pair states."""
+        size, scores = len(text), self.model.scores
+        best: list[tuple[float, int]] = [(0.0, 0)] + [(float("inf"), 0)] * size
+        for start in range(size):
+            for end in self.ends(text, start):
+                i = self.ids.get(text[start:end])
+                weight = best[start][0] + (self.unknown_weight if i is None else -scores[i])
+                if weight < best[end][0]:
+                    best[end] = (weight, start)
+        pieces, place = [], size
+        while place:
+            start = best[place][1]
+            pieces.append(text[start:place])
+            place = start
+        return pieces[::-1]
+
     def normalise(self, text: str) -> str:
         if self.model.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
