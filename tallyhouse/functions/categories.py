@@ -16,9 +16,6 @@ CATEGORY_GROUPS = {
 }
 OTHER_CATEGORY = "otro"
 
-# A lookup table up to this many entries is sent to every executor.
-_BROADCAST_ENTRIES = 100_000
-
 
 def category_of(
     description: ColumnLike,
@@ -43,6 +40,4 @@ def with_category(
     """Category by a join with the lookup table, for long group lists."""
     entries = [(member, group) for group, members in (groups or CATEGORY_GROUPS).items() for member in members]
     lookup = df.sparkSession.createDataFrame(entries, f"`{description}` string, `{name}` string")
-    if len(entries) <= _BROADCAST_ENTRIES:
-        lookup = F.broadcast(lookup)
     return df.join(lookup, description, "left").withColumn(name, F.coalesce(F.col(name), F.lit(default)))

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import ColumnLike, as_column
 
-# Day and month of up to five digits (they may roll over), year of up to four.
-_DAY_MONTH_YEAR = r"^[\x00-\x20]*(\d{1,5}/\d{1,5}/\d{1,4})(?!\d)"
-_CLOCK = r"^[\x00-\x20]*\S+\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
+# Days and months may roll over, so any number of digits is read.
+_DAY_MONTH_YEAR = r"^[\x00-\x20]*(\d+/\d+/\d+)"
+_CLOCK = r"^[\x00-\x20]*\S+\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)(?![\d:])"
+# Years that a date can hold, and bounds of what may roll over within them.
+_LAST_YEAR = 9999
+_MOST_MONTHS, _MOST_DAYS = 12 * _LAST_YEAR, 366 * _LAST_YEAR
 RECENT_DAYS = 30
 
 
@@ -34,15 +37,17 @@ def _numbers(parts: ColumnLike, pivot_year: int | None) -> tuple[Column, Column,
     """Day, month and full year."""
     pivot = default_pivot_year() if pivot_year is None else pivot_year
     day, month, year_text = (F.get(as_column(parts), position) for position in range(3))
-    number = year_text.cast("int")
+    number = year_text.try_cast("int")
     century = F.when(F.length(year_text) != 2, 0).when(number < pivot, 2000).otherwise(1900)
-    return day.cast("int"), month.cast("int"), number + century
+    return day.try_cast("int"), month.try_cast("int"), number + century
 
 
 def date_of_parts(parts: ColumnLike, pivot_year: int | None = None) -> Column:
     """:func:`lenient_date` of parts found before; as a column of their own they are found once."""
     day, month, year = _numbers(parts, pivot_year)
-    return F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+    near = (year <= _LAST_YEAR) & (month <= _MOST_MONTHS) & (day <= _MOST_DAYS)
+    date = F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day - 1)
+    return F.when(near & (F.year(date) <= _LAST_YEAR), date)
 
 
 def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
@@ -50,7 +55,7 @@ def lenient_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
 
     Text after the date is ignored. Exactly two year digits fall in the hundred
     years that start at the pivot; other digit counts are taken literally.
-    Text that is no such date gives null.
+    Text that is no such date, or one after the year 9999, gives null.
     """
     return date_of_parts(date_parts(text), pivot_year)
 
@@ -68,11 +73,12 @@ def strict_date(text: ColumnLike, pivot_year: int | None = None) -> Column:
 
 
 def clock_of(text: ColumnLike) -> Column:
-    """The ``H:mm[:ss]`` after a date text as an interval, zero if there is none."""
-    hours, minutes, seconds = (
-        F.coalesce(_matched(text, _CLOCK, group).cast("int"), F.lit(0)) for group in (1, 2, 3)
-    )
-    return F.make_dt_interval(F.lit(0), hours, minutes, seconds.cast("decimal(18,6)"))
+    """The ``H:mm[:ss]`` after a date text as an interval, null if there is none that can be read."""
+    parts = F.split(_matched(text, _CLOCK, 1), ":")
+    hours, minutes = F.get(parts, 0).cast("int"), F.get(parts, 1).cast("int")
+    seconds = F.coalesce(F.get(parts, 2).cast("int"), F.lit(0))
+    readable = (hours < 24) & (minutes < 60) & (seconds < 60)
+    return F.when(readable, F.make_dt_interval(F.lit(0), hours, minutes, seconds.cast("decimal(18,6)")))
 
 
 def is_recent(
@@ -96,11 +102,16 @@ def is_recent(
 
 
 def epoch_seconds(moment: ColumnLike) -> Column:
-    """Whole seconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    moment = as_column(moment).cast("timestamp_ntz")
-    return (
-        F.unix_date(moment.cast("date")).cast("long") * 86400
-        + F.hour(moment) * 3600
-        + F.minute(moment) * 60
-        + F.second(moment)
+    """Whole seconds since 1970, of zoned and zone-less timestamps alike, whatever the session zone.
+
+    A zone-less timestamp is read as UTC. The column's type picks the way when the query is planned.
+    """
+    given = as_column(moment)
+    local = given.cast("timestamp_ntz")
+    of_local = (
+        F.unix_date(local.cast("date")).cast("long") * 86400
+        + F.hour(local) * 3600
+        + F.minute(local) * 60
+        + F.second(local)
     )
+    return F.when(F.typeof(given) == "timestamp", F.unix_seconds(given.cast("timestamp"))).otherwise(of_local)

@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def register_functions(spark: SparkSession) -> None:
     """Register ``clean`` and ``strLen``.
 
-    ``clean`` (drop the last character) is a SQL function, which the optimizer
-    inlines. ``strLen`` is an Arrow-batched Python function; ``length`` does the
-    same without leaving the JVM.
+    ``clean`` drops the last character, ``strLen`` counts characters. Both are SQL
+    functions, which the optimizer inlines.
     """
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION clean(x STRING) RETURNS STRING "
         "RETURN left(x, greatest(length(x) - 1, 0))"
     )
-
-    @F.pandas_udf("long")
-    def text_length(texts: pd.Series) -> pd.Series:
-        return texts.str.len().astype("Int64")
-
-    spark.udf.register("strLen", text_length)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION strLen(x STRING) RETURNS BIGINT RETURN length(x)")

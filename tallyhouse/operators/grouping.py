@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +62,7 @@ def fold_by_key(df: DataFrame, keys: Sequence[str], value: str, merge: Callable)
     and sorted by key, and each run of equal keys is merged as it streams by; this
     happens once per slice of a key and once per key, so that no task meets more
     than a slice of a hot key's partial results.
-    Null values are left out. ``keys`` must not be null.
+    Null values are left out; a null key is a key like any other.
     """
     keys = list(keys)
     columns = [*keys, "_slice", value]
@@ -70,42 +70,46 @@ def fold_by_key(df: DataFrame, keys: Sequence[str], value: str, merge: Callable)
         *[df.schema[key] for key in keys], T.StructField("_slice", T.IntegerType()), df.schema[value]
     ])
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=columns)
+    # Arrow values: a null key is None, which equals itself, and long keys stay whole.
+    def frame(rows: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
+        arrays = [pa.array([row[i] for row in rows], kinds.field(i).type) for i in range(len(columns))]
+        return pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kinds = {}, None
         for batch in batches:
-            for *key, item in zip(*(batch[column] for column in columns)):
+            kinds = batch.schema
+            for *key, item in zip(*(column.to_pylist() for column in batch.columns)):
                 key = tuple(key)
                 held[key] = merge(held[key], item) if key in held else item
             if len(held) >= _FOLD_KEYS:
-                yield frame([(*key, total) for key, total in held.items()])
+                yield frame([(*key, total) for key, total in held.items()], kinds)
                 held = {}
-        yield frame([(*key, total) for key, total in held.items()])
+        if held:
+            yield frame([(*key, total) for key, total in held.items()], kinds)
 
-    def merge_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, total = None, None
+    def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total, kinds = None, None, None
         for batch in batches:
-            finished = []
-            for *key, item in zip(*(batch[column] for column in columns)):
+            finished, kinds = [], batch.schema
+            for *key, item in zip(*(column.to_pylist() for column in batch.columns)):
                 if key == current:
                     total = merge(total, item)
                 else:
                     if current is not None:
                         finished.append((*current, total))
                     current, total = key, item
-            yield frame(finished)
+            yield frame(finished, kinds)
         if current is not None:
-            yield frame([(*current, total)])
+            yield frame([(*current, total)], kinds)
 
     def merged(partials: DataFrame) -> DataFrame:
         by = [*keys, "_slice"]
-        return partials.repartition(*by).sortWithinPartitions(*by).mapInPandas(merge_runs, schema)
+        return partials.repartition(*by).sortWithinPartitions(*by).mapInArrow(merge_runs, schema)
 
     present = df.select(*keys, value).where(F.col(value).isNotNull())
     sliced = present.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(_FOLD_FAN)).cast("int"))
-    per_slice = merged(sliced.select(*columns).mapInPandas(combine, schema))
+    per_slice = merged(sliced.select(*columns).mapInArrow(combine, schema))
     return merged(per_slice.withColumn("_slice", F.lit(0))).drop("_slice")
 
 

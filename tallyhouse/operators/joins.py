@@ -5,34 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a lookup list is sent to every executor.
-BROADCAST_ROWS = 100_000
 
+def keep_listed(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in the lookup list; the planner broadcasts it if its bytes are few."""
+    return df.join(lookup.select(key), key, "left_semi")
 
-def broadcast_within(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``lookup`` for broadcast if it has at most ``max_rows`` rows, else leave it.
 
-    Reads at most ``max_rows + 1`` rows to find out.
-    """
-    return F.broadcast(lookup) if lookup.limit(max_rows + 1).count() <= max_rows else lookup
-
-
-def keep_listed(df: DataFrame, lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows whose key is in the lookup list."""
-    return df.join(broadcast_within(lookup.select(key), max_rows), key, "left_semi")
-
-
-def drop_listed(df: DataFrame, lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def drop_listed(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the lookup list."""
-    return df.join(broadcast_within(lookup.select(key), max_rows), key, "left_anti")
+    return df.join(lookup.select(key), key, "left_anti")
 
 
 def pair_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join of two keyed tables; repeated keys multiply, as in any inner join.
 
     ``how`` is ``inner``, ``left`` or ``right``; the side without a match is null.
+    Adaptive execution splits a hot key on both sides of an inner join, but only on the
+    preserved side of an outer one. Outer joins are therefore the inner join and the
+    unmatched rows of the preserved side, found against the other side's distinct keys.
     """
-    return left.join(right, key, how)
+    matched = left.join(right, key)
+    if how == "inner":
+        return matched
+    kept, other = (left, right) if how == "left" else (right, left)
+    alone = kept.join(other.select(key).distinct(), key, "left_anti")
+    types = dict((field.name, field.dataType) for field in matched.schema)
+    return matched.union(
+        alone.select(*[F.col(c) if c in kept.columns else F.lit(None).cast(types[c]).alias(c) for c in matched.columns])
+    )
 
 
 def join_nested(left: DataFrame, right: DataFrame, key: str, name: str = "value") -> DataFrame:

@@ -57,8 +57,10 @@ def high_payments(wide: DataFrame, above: float = HIGH_PAYMENT) -> DataFrame:
 
 
 def city_rows(wide: DataFrame, city: str = WATCHED_CITY) -> DataFrame:
-    """Transactions in one city, ordered by customer."""
-    return wide.where(F.col("ciudad") == city).orderBy("DNI")
+    """Transactions in one city, ordered by customer; the other columns break ties, so that
+    a customer with very many rows is spread over tasks."""
+    ties = [c for c, kind in wide.dtypes if c != "DNI" and not kind.startswith(("map", "variant"))]
+    return wide.where(F.col("ciudad") == city).orderBy("DNI", *ties)
 
 
 def category_rows(wide: DataFrame, category: str = WATCHED_CATEGORY) -> DataFrame:

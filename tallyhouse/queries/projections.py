@@ -73,9 +73,9 @@ def prj_nested_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _located_customers(spark, sf_dir).select("c_custkey", F.col("geolocalizacion.ciudad").alias("ciudad"))
 
 
-@query("SELECT p_partkey, 'Name: ' || p_name AS label FROM part WHERE p_size < 20")
+@query("SELECT p_partkey, 'Name: ' || p_name AS label FROM part")
 def prj_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").where(F.col("p_size") < 20).select(
+    return table(spark, sf_dir, "part").select(
         "p_partkey", label("Name: ", "p_name").alias("label")
     )
 

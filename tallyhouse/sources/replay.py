@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import ColumnLike
-from tallyhouse.operators.joins import BROADCAST_ROWS
 from tallyhouse.operators.numbering import with_surrogate_id
 
 # Fixed value: messages per replay.
@@ -32,8 +31,8 @@ def replay_sample(
     total = indexed.agg(F.max("_position")).first()[0]
     if total is None:
         return indexed.withColumn("draw", F.lit(None).cast("long")).select("draw", *df.columns)
-    chosen = F.floor(F.rand(seed) * (total + 1)) if position is None else F.pmod(position, F.lit(total + 1))
+    # From the draw's number, not from where it is made: equal on every layout.
+    drawn = F.xxhash64("draw", F.lit(seed)) if position is None else position
+    chosen = F.pmod(drawn, F.lit(total + 1))
     draws = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("_position", chosen.cast("long"))
-    if n <= BROADCAST_ROWS:
-        draws = F.broadcast(draws)
     return indexed.join(draws, "_position").select("draw", *df.columns)

@@ -65,7 +65,8 @@ DATES = {
 def test_lenient_date(spark):
     assert over(spark, DATES, lenient_date("x", pivot_year=46)) == list(DATES.values())
     known = over(spark, DATES, date_parts("x").isNotNull())
-    assert known == [date is not None for date in DATES.values()]
+    # Digits of a date after the last year are parts, but no date.
+    assert all(found or date is None for found, date in zip(known, DATES.values()))
 
 
 def test_strict_date(spark):
@@ -103,7 +104,15 @@ def test_lenient_date_model(spark, parts):
 def test_clock(spark):
     texts = ["1/2/09 6:17", "1/2/09 23:59:58", "1/2/09", "1/2/09 noon"]
     moments = over(spark, texts, F.date_format(F.lit(datetime.date(2009, 2, 1)).cast("timestamp") + clock_of("x"), "HH:mm:ss"))
-    assert moments == ["06:17:00", "23:59:58", "00:00:00", "00:00:00"]
+    assert moments == ["06:17:00", "23:59:58", None, None]
+
+
+def test_long_digits_and_unreadable_clocks(spark):
+    texts = ["000001/2/09", "1/2/20091", "1/" + "9" * 30 + "/09", "100000/1/2009", "1/2/" + "9" * 12]
+    found = over(spark, texts, lenient_date("x", pivot_year=46))
+    assert found == [datetime.date(2009, 2, 1), None, None, datetime.date(2282, 10, 16), None]
+    clocks = ["1/2/09 6:177", "1/2/09 123:45", "1/2/09 25:00", "1/2/09 0:00"]
+    assert over(spark, clocks, clock_of("x").isNull()) == [True, True, True, False]
 
 
 def test_recent(spark):

@@ -9,8 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.grouping import counted_while_read, fold, fold_by_key, group_values, mean_of_matched
-from tallyhouse.operators.joins import broadcast_within, drop_listed, join_nested, keep_listed, pair_join
-from tallyhouse.operators.layout import spread_over_cores
+from tallyhouse.operators.joins import drop_listed, join_nested, keep_listed, pair_join
 from tallyhouse.operators.numbering import first_per_key, largest, smallest, with_row_id, with_surrogate_id
 from tallyhouse.operators.sets import distinct_rows, drop_duplicates, intersect_rows, union_bag
 from tallyhouse.sources.replay import replay_sample
@@ -91,11 +90,8 @@ def test_nested_join(spark):
 
 def test_lookup_lists(spark, pairs):
     listed = spark.createDataFrame([("a",), ("q",)], "k string")
-    for bound in (100, 1):
-        assert rows(keep_listed(pairs, listed, "k", bound)) == [("a", 1), ("a", 2)]
-        assert len(rows(drop_listed(pairs, listed, "k", bound))) == 4
-    assert broadcast_within(listed, 1) is listed
-    assert broadcast_within(listed, 2) is not listed
+    assert rows(keep_listed(pairs, listed, "k")) == [("a", 1), ("a", 2)]
+    assert len(rows(drop_listed(pairs, listed, "k"))) == 4
 
 
 def test_keyed_sums_and_groups(spark, pairs):
@@ -166,12 +162,9 @@ def test_drop_duplicates_keeps_the_first(spark):
     assert rows(drop_duplicates(df, ["t"], ["id"])) == [(1, "x"), (2, "y")]
 
 
-def test_spreading_keeps_rows(spark):
-    one = spark.range(0, 1000, 1, 1)
-    assert spread_over_cores(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_over_cores(one).distinct().count() == 1000
-    many = spark.range(0, 1000, 1, 50)
-    assert spread_over_cores(many) is many
+def test_fold_groups_null_keys(spark):
+    numbers = spark.createDataFrame([(None, 1), (None, 2), (2**60 + 1, 5), (2**60, 7)], "k long, v long").repartition(4)
+    assert rows(fold_by_key(numbers, ["k"], "v", lambda a, b: a + b)) == [(2**60, 7), (2**60 + 1, 5), (None, 3)]
 
 
 def test_replay(spark):
