@@ -25,8 +25,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """All rows as sorted tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple((value is None, str(value)) for value in row))

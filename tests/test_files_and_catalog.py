@@ -1,7 +1,7 @@
 """Readers, writers, views, tables, Kafka records, session facts, text and incident jobs."""
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

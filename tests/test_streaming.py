@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 from test_transactions import HEADER, LINES, OPTIONS, messages
 
