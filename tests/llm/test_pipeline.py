@@ -7,15 +7,16 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import pii, quality_rules
+from tallyhouse.session import write_through
 
 
 def test_stages(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "near_dedup", "personal_data", "mix", "tokenize"]
     columns, seen = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
-        made = stage(spark, docs, "/root/testdata/sf0.001").cache()
+        made = write_through(stage(spark, docs, "/root/testdata/sf0.001"))
         seen[name] = (docs.collect(), made.collect())
         assert made.columns == (columns if name != "tokenize" else [*columns, "piece_ids"])
         docs = made
