@@ -9,14 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import (
+    hard_negatives,
     html_text,
     language_id,
+    line_dedup,
     minhash,
     mixing,
     pii,
     piece_fst,
     quality_rules,
     secrets,
+    spelling,
     token_files,
     top_k,
 )
@@ -147,3 +150,55 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_dot_product(a.vector, r.vector) AS BIGINT) AS score
+  FROM good a JOIN good r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+ AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=hard_negatives.shifted_label())
+
+
+@query("""
+WITH cut AS (
+  SELECT row_number() OVER () AS row, doc_id, md5(text) AS digest, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), lined AS (
+  SELECT row, doc_id, digest, unnest(range(len(lines))) AS place, unnest(lines) AS line FROM cut
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lined
+), shared AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT (doc_id, digest)) >= 10
+), marked AS (
+  SELECT k.*, s.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY row, doc_id
+""")
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))

