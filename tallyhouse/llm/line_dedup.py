@@ -57,7 +57,8 @@ def _sorted_lines(documents: DataFrame, doc_id: str, text: str, min_length: int)
         .where((F.col("_key") != "") & (F.length("_key") >= min_length))
         .select(F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), F.col("_key")).alias("_h2"), *_DOCUMENT, "_line")
     )
-    laid_out = keyed.repartitionByRange(*_HASH, *_DOCUMENT)
+    # Written first: the range bounds are sampled from the hashes, not from the texts again.
+    laid_out = write_through(keyed).repartitionByRange(*_HASH, *_DOCUMENT)
     # The range partitions hold each (hash, document) whole: this sorts, but moves nothing.
     inside = Window.partitionBy(*_HASH, *_DOCUMENT).orderBy("_line")
     return laid_out.withColumn("_new", F.row_number().over(inside) == 1)
