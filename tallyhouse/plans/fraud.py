@@ -2,14 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.panes import stream_window_values, window_values
+
 # Window length and slide.
 WINDOW_SIZE = "120 seconds"
 WINDOW_SLIDE = "15 seconds"
 
 
+def _windows(
+    rows: DataFrame,
+    keys: list[str],
+    time: str,
+    size: str,
+    slide: str,
+    values: Mapping[str, tuple[Column, str]],
+    at_least: int,
+    by_panes: bool,
+) -> DataFrame:
+    """(start, keys, values): tables by panes, streams by Spark's windows unless panes are asked for."""
+    if not rows.isStreaming:
+        return window_values(rows, keys, time, size, slide, values, at_least)
+    if by_panes:
+        return stream_window_values(rows, keys, time, size, slide, values)
+    aggregates = [of.alias(name) for name, (of, _) in values.items()]
+    windows = rows.groupBy(F.window(time, size, slide), *keys).agg(*aggregates)
+    return windows.select(F.col("window.start").alias("start"), *keys, *values)
+
+
 def window_counts(
     rows: DataFrame,
     keys: list[str],
@@ -17,13 +41,12 @@ def window_counts(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     name: str = "count",
+    at_least: int = 1,
+    by_panes: bool = False,
 ) -> DataFrame:
-    """(start, keys, count) for every sliding window that holds rows of the keys."""
-    return (
-        rows.groupBy(F.window(time, size, slide), *keys)
-        .agg(F.count(F.lit(1)).alias(name))
-        .select(F.col("window.start").alias("start"), *keys, name)
-    )
+    """(start, keys, count) for every sliding window that holds ``at_least`` rows of the keys."""
+    counts = _windows(rows, keys, time, size, slide, {name: (F.count(F.lit(1)), "sum")}, at_least, by_panes)
+    return counts.where(F.col(name) >= at_least) if at_least > 1 else counts
 
 
 def suspicious_same_city(
@@ -33,9 +56,10 @@ def suspicious_same_city(
     time: str = "momento",
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
+    by_panes: bool = False,
 ) -> DataFrame:
     """Persons with more than one transaction in the same city within a window."""
-    return window_counts(rows, [person, city], time, size, slide).where(F.col("count") > 1)
+    return window_counts(rows, [person, city], time, size, slide, at_least=2, by_panes=by_panes)
 
 
 def suspicious_multi_city(
@@ -45,6 +69,7 @@ def suspicious_multi_city(
     time: str = "momento",
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
+    by_panes: bool = False,
 ) -> DataFrame:
     """Persons with transactions in more than one city within a window.
 
@@ -52,9 +77,6 @@ def suspicious_multi_city(
     name per window and person are kept: they differ exactly when there is more
     than one, so one grouping will do and a stream's state does not grow with the cities.
     """
-    return (
-        rows.groupBy(F.window(time, size, slide), person)
-        .agg(F.count(city).alias("count"), F.min(city).alias("_low"), F.max(city).alias("_high"))
-        .where(F.col("_low") != F.col("_high"))
-        .select(F.col("window.start").alias("start"), person, "count")
-    )
+    values = {"count": (F.count(city), "sum"), "_low": (F.min(city), "min"), "_high": (F.max(city), "max")}
+    windows = _windows(rows, [person], time, size, slide, values, 2, by_panes)
+    return windows.where(F.col("_low") != F.col("_high")).select("start", person, "count")

@@ -29,15 +29,18 @@ def suspicious_stream(
     slide: str = WINDOW_SLIDE,
     lateness: str = ALLOWED_LATENESS,
     several_cities: bool = False,
+    by_panes: bool = False,
 ) -> DataFrame:
     """Suspicious repeats per window.
 
     ``time`` is the transaction time, or an arrival time stamped at the source
     to group by when messages came in. In append mode a window is given out once
     the newest time seen is ``lateness`` past its end; state older than that is dropped.
+    ``by_panes``, for append mode only, counts a message once instead of once per window,
+    see :func:`tallyhouse.operators.panes.stream_window_values`.
     """
     found = suspicious_multi_city if several_cities else suspicious_same_city
-    return found(rows.withWatermark(time, lateness), person, city, time, size, slide)
+    return found(rows.withWatermark(time, lateness), person, city, time, size, slide, by_panes)
 
 
 def fraud_job(
