@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import ColumnLike, as_column
+from tallyhouse.operators.ranges import OrderKey, Ranges
 from tallyhouse.session import write_through
 
 # monotonically_increasing_id keeps the partition above this many low bits.
 _POSITION_BITS = 33
+# Copies of one row that are made in one go.
+_COPIES = 100_000
 
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
@@ -59,6 +62,44 @@ def with_surrogate_id(
     )
 
 
+def with_ordered_id(
+    df: DataFrame, order_by: Sequence[OrderKey], name: str = "id", start: int = 1, ranges: int | None = None
+) -> DataFrame:
+    """Consecutive ids ``start, start + 1, ...`` in the given order, without a written copy.
+
+    Rows are dealt into value ranges, counted per range, and numbered inside their range from
+    the count of the rows before it. Rows that tie in ``order_by`` are in an order that follows from
+    their values, so ids do not depend on the layout and a lost executor cannot change one.
+    Rows that agree in all columns and fill whole ranges are counted, and made again from the count.
+
+    Takes two jobs, over the keys and over the ranges; ``df`` must give the same rows each
+    time it is read (write a random or costly one through first).
+    """
+    found = Ranges(df, order_by, ranges)
+    placed = found.assign(df)
+    # One row per range.
+    sizes = {row["_range"]: row["count"] for row in placed.groupBy("_range").count().collect()}
+    offsets = [start]
+    for number in range(found.count - 1):
+        offsets.append(offsets[-1] + sizes.get(number, 0))
+    offset = F.get(F.array(*[F.lit(value).cast("long") for value in offsets]), F.col("_range"))
+    usual = 2 * sum(sizes.values()) / found.count
+    repeated = [number for number in found.same if sizes.get(number, 0) > usual]
+    inside = Window.partitionBy("_range").orderBy(*found.order)
+    alone = placed.where(~F.col("_range").isin(repeated)) if repeated else placed
+    numbered = alone.select(*df.columns, (offset + F.row_number().over(inside) - 1).alias(name))
+    if not repeated:
+        return numbered
+    copies = placed.where(F.col("_range").isin(repeated)).groupBy("_range", *df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_range").orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    first = (offset + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_first")
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / _COPIES))).alias("_chunk")
+    spread = copies.select("*", first).select("*", chunks).repartition("_range", "_chunk")
+    until = F.least(F.col("_n"), (F.col("_chunk") + 1) * _COPIES) - 1
+    made = spread.select(*df.columns, "_first", F.explode(F.sequence(F.col("_chunk") * _COPIES, until)).alias("_copy"))
+    return numbered.union(made.select(*df.columns, F.col("_first") + F.col("_copy")))
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[ColumnLike], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key in the given order.
 

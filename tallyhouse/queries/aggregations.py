@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.grouping import fold_by_key, group_values, mean_of_matched
+from tallyhouse.operators.grouping import fold_columns, group_values, mean_of_matched
 from tallyhouse.operators.sets import distinct_rows, drop_duplicates, text_digest
 from tallyhouse.plans.transactions import card_means
 from tallyhouse.queries.registry import WITH_T, query, table, transactions
@@ -86,18 +86,22 @@ FROM part GROUP BY p_brand
 """)
 def agg_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = table(spark, sf_dir, "part").select("p_brand", F.col("p_size").cast("long").alias("product"))
-    return fold_by_key(sizes, ["p_brand"], "product", lambda a, b: a * b % 1_000_003)
+    return fold_columns(sizes, ["p_brand"], "product", lambda a, b: a * b % FOLD_MODULUS)
 
 
 @query(f"""
-SELECT o_orderpriority, CAST(o_orderkey // {ORDERS_PER_PIECE} AS BIGINT) AS piece,
+WITH ranked AS (
+  SELECT o_orderpriority, o_orderkey,
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS place FROM orders
+)
+SELECT o_orderpriority, CAST(place // {ORDERS_PER_PIECE} AS BIGINT) AS piece,
        array_to_string(list_sort(list(o_orderkey)), ',') AS orders
-FROM orders GROUP BY 1, 2
+FROM ranked GROUP BY 1, 2
 """)
 def agg_group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Order keys are unique, so a piece holds at most ORDERS_PER_PIECE of them.
-    piece = F.floor(F.col("o_orderkey") / ORDERS_PER_PIECE)
-    grouped = group_values(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderkey", piece)
+    grouped = group_values(
+        table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderkey", length=ORDERS_PER_PIECE
+    )
     return grouped.select(
         "o_orderpriority", "piece", F.array_join(F.col("grouped").cast("array<string>"), ",").alias("orders")
     )

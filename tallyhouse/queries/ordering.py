@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.numbering import first_per_key, largest, smallest, with_surrogate_id
+from tallyhouse.operators.numbering import first_per_key, largest, smallest, with_ordered_id
+from tallyhouse.operators.ranges import Falling
 from tallyhouse.plans.transactions import city_counts
 from tallyhouse.queries.registry import CITY, WITH_T, query, table, transactions
 
@@ -13,7 +14,7 @@ from tallyhouse.queries.registry import CITY, WITH_T, query, table, transactions
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders")
 def win_surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey")
-    return with_surrogate_id(orders, ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+    return with_ordered_id(orders, ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query("""
@@ -31,15 +32,15 @@ def win_first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT ciudad, NumTransacciones, row_number() OVER (ORDER BY NumTransacciones DESC, ciudad) AS rank FROM counts
 """)
 def srt_desc_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_surrogate_id(
-        city_counts(transactions(spark, sf_dir)), [F.desc("NumTransacciones"), "ciudad"], name="rank"
+    return with_ordered_id(
+        city_counts(transactions(spark, sf_dir)), [Falling("NumTransacciones"), "ciudad"], name="rank"
     )
 
 
 @query("SELECT event_id, user_id, row_number() OVER (ORDER BY user_id DESC, event_id) AS rank FROM events")
 def srt_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id")
-    return with_surrogate_id(events, [F.desc("user_id"), "event_id"], name="rank")
+    return with_ordered_id(events, [Falling("user_id"), "event_id"], name="rank")
 
 
 @query("""
@@ -47,7 +48,7 @@ SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_size * p_retailprice DES
 """)
 def srt_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    ranked = with_surrogate_id(parts, [F.desc(F.col("p_size") * F.col("p_retailprice")), "p_partkey"], name="rank")
+    ranked = with_ordered_id(parts, [Falling(F.col("p_size") * F.col("p_retailprice")), "p_partkey"], name="rank")
     return ranked.drop("p_size", "p_retailprice")
 
 
@@ -56,13 +57,13 @@ SELECT tid, DNI, importe, row_number() OVER (ORDER BY DNI, tid) AS rank FROM t W
 """)
 def srt_city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = transactions(spark, sf_dir).where(F.col("ciudad") == CITY).select("tid", "DNI", "importe")
-    return with_surrogate_id(rows, ["DNI", "tid"], name="rank")
+    return with_ordered_id(rows, ["DNI", "tid"], name="rank")
 
 
 @query("SELECT p_partkey, row_number() OVER (ORDER BY p_size, p_name, p_partkey) AS rank FROM part")
 def srt_two_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_size", "p_name", "p_partkey")
-    return with_surrogate_id(parts, ["p_size", "p_name", "p_partkey"], name="rank").select("p_partkey", "rank")
+    return with_ordered_id(parts, ["p_size", "p_name", "p_partkey"], name="rank").select("p_partkey", "rank")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 5")
