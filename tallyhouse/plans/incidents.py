@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import ColumnLike, as_column
 from tallyhouse.functions.numbers import whole_number_or
-from tallyhouse.functions.text import field_at
+from tallyhouse.functions.text import split_trimmed
 
 # Field positions (from 0) in an incident line, and the age of a
 # victim whose age is missing or unreadable.
@@ -18,8 +18,9 @@ DEFAULT_AGE = 25
 
 def incident_fields(lines: DataFrame, line: str = "value") -> DataFrame:
     """(offence, age_text) of comma-separated incident lines; missing fields are null."""
-    return lines.select(
-        field_at(line, OFFENCE_FIELD).alias("offence"), field_at(line, VICTIM_AGE_FIELD).alias("age_text")
+    fields = lines.select(split_trimmed(line, ",").alias("_fields"))  # a line is split once
+    return fields.select(
+        F.get("_fields", OFFENCE_FIELD).alias("offence"), F.get("_fields", VICTIM_AGE_FIELD).alias("age_text")
     )
 
 

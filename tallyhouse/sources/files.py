@@ -71,13 +71,17 @@ def typed_fields(
 
     Text that is not of the type gives null, or fails the job when ``strict``.
     """
-    parts = split_trimmed(as_column(text), separator)
+    # Two steps, so that a line is split once and a field trimmed once.
+    split = df.select(split_trimmed(as_column(text), separator).alias("_parts"))
+    trimmed = split.select(*[
+        trim_controls(F.get("_parts", position)).alias(f"_part{position}") for position in range(len(schema.fields))
+    ])
     columns = []
     for position, field in enumerate(schema.fields):
-        part = trim_controls(F.get(parts, position))
+        part = F.col(f"_part{position}")
         cast = part.cast(field.dataType) if strict else try_parse(part, field.dataType)
         columns.append(cast.alias(field.name))
-    return df.select(*columns)
+    return trimmed.select(*columns)
 
 
 def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -44,45 +44,37 @@ def header_of(line: str) -> dict[str, str]:
     return dict(zip(RAW_TRANSACTION_FIELDS, line.split(",")))
 
 
-def _typed(raw: DataFrame, pivot_year: int | None, strict: bool) -> DataFrame:
+def _judged(raw: DataFrame, pivot_year: int | None, strict: bool) -> DataFrame:
+    """Raw rows with what their ``reason`` needs, and nothing else: numbers, date and reason."""
+
     def number(field: str) -> Column:
         return F.col(field).cast("double") if strict else try_parse(field, T.DoubleType())
 
-    carried = [column for column in raw.columns if column not in RAW_TRANSACTION_FIELDS]
     # Trimmed in a step of its own: the next one uses each text several times.
     trimmed = raw.select(
-        *carried,
-        *RAW_TRANSACTION_FIELDS,
+        "*",
         trim_controls("amount_text").alias("_amount"),
         trim_controls("latitude_text").alias("_latitude"),
         trim_controls("longitude_text").alias("_longitude"),
-        trim_controls("description").alias("descripcion"),
         date_parts("when_text").alias("_date"),
     )
-    dated = trimmed.select(
-        "*",
-        date_of_parts("_date", pivot_year).alias("fecha"),
+    parsed = trimmed.select(
+        *raw.columns,
         number("_amount").alias("importe"),
-        F.struct(
-            number("_latitude").alias("latitud"),
-            number("_longitude").alias("longitud"),
-            trim_controls("city").alias("ciudad"),
-            F.lit(UNKNOWN_COUNTRY).alias("pais"),
-        ).alias("geolocalizacion"),
+        number("_latitude").alias("_latitude"),
+        number("_longitude").alias("_longitude"),
+        date_of_parts("_date", pivot_year).alias("fecha"),
     )
-    return dated.select(
-        *carried,
-        *RAW_TRANSACTION_FIELDS,
-        "importe",
-        "descripcion",
-        category_of("descripcion").alias("categoria"),
-        F.col("card").alias("tarjetaCredito"),
-        "geolocalizacion",
-        "fecha",
-        (F.col("fecha").cast("timestamp") + clock_of("when_text")).alias("momento"),
-        F.col("name").alias("nombre"),
-        F.col("account").alias("cuentaCorriente"),
+    reason = (
+        F.when(F.col(MALFORMED).isNotNull(), "field count")
+        .when(F.col("importe").isNull(), "amount")
+        .when(F.col("_latitude").isNull(), "latitude")
+        .when(F.col("_longitude").isNull(), "longitude")
+        .when(F.col("fecha").isNull(), "date")
     )
+    judged = parsed.withColumn("reason", reason)
+    # A filter on ``reason`` would otherwise move below the parsing and repeat it.
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def check_transactions(
@@ -99,23 +91,30 @@ def check_transactions(
     """
     if header:
         raw = drop_header(raw, header)
-    reason = (
-        F.when(F.col(MALFORMED).isNotNull(), "field count")
-        .when(F.col("importe").isNull(), "amount")
-        .when(F.col("geolocalizacion.latitud").isNull(), "latitude")
-        .when(F.col("geolocalizacion.longitud").isNull(), "longitude")
-        .when(F.col("fecha").isNull(), "date")
-    )
+    judged = _judged(raw, pivot_year, strict)
+    # Everything below is left out of a plan that does not ask for it: rejects need no
+    # category or place, good rows no line.
     rebuilt = F.concat_ws(",", *[F.coalesce(F.col(field), F.lit("")) for field in RAW_TRANSACTION_FIELDS])
-    line = F.when(F.col("reason").isNotNull(), F.coalesce(F.col(MALFORMED), rebuilt))
-    checked = (
-        _typed(raw, pivot_year, strict)
-        .withColumn("reason", reason)
-        .withColumn("line", line)
-        .drop(*RAW_TRANSACTION_FIELDS, MALFORMED)
+    carried = [column for column in raw.columns if column not in (*RAW_TRANSACTION_FIELDS, MALFORMED)]
+    return judged.withColumn("descripcion", trim_controls("description")).select(
+        *carried,
+        "importe",
+        "descripcion",
+        category_of("descripcion").alias("categoria"),
+        F.col("card").alias("tarjetaCredito"),
+        F.struct(
+            F.col("_latitude").alias("latitud"),
+            F.col("_longitude").alias("longitud"),
+            trim_controls("city").alias("ciudad"),
+            F.lit(UNKNOWN_COUNTRY).alias("pais"),
+        ).alias("geolocalizacion"),
+        "fecha",
+        (F.col("fecha").cast("timestamp") + clock_of("when_text")).alias("momento"),
+        F.col("name").alias("nombre"),
+        F.col("account").alias("cuentaCorriente"),
+        "reason",
+        F.when(F.col("reason").isNotNull(), F.coalesce(MALFORMED, rebuilt)).alias("line"),
     )
-    # A filter on ``reason`` would otherwise move below the parsing and repeat it.
-    return checked.select(F.inline(F.array(F.struct(*checked.columns))))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
