@@ -77,14 +77,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def write_through(df: DataFrame, name: str | None = None) -> DataFrame:
+def write_through(df: DataFrame, name: str | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     Cuts the lineage: later reads see the same rows whatever executors are lost.
     Without ``name`` the table gets a fresh path; a repeated ``name`` is overwritten.
+    With ``by`` each value of that column has a folder of its own, and a filter on it reads
+    only that.
     """
     spark = df.sparkSession
     application = spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/tallyhouse/{application}/{name or uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyhouse.operators.numbering import with_surrogate_id
-from tallyhouse.plans.transactions import MetricOptions, speed_metrics, wide_from_rows
+from tallyhouse.plans.transactions import RESULT_COLUMNS, MetricOptions, result_of, tagged_results
+from tallyhouse.session import write_through
 from tallyhouse.sinks.files import write_files
 from tallyhouse.sinks.kafka import RESULT_TOPIC, encode_rows, write_kafka
 from tallyhouse.sources.streams import BROKERS
-from tallyhouse.sources.transactions import accepted, check_transactions, raw_transactions_of, rejected
+from tallyhouse.sources.transactions import check_transactions, raw_transactions_of
 from tallyhouse.streaming.control import SPEED_INTERVAL, with_trigger
 
 # Takes the result's name, the result and the micro-batch number.
@@ -47,15 +48,16 @@ def each_batch(
     """The work on one micro-batch of messages.
 
     The batch is read from its source once: parsed, numbered and written to the
-    shared folder, where two tables take turns. All metrics read that table.
+    shared folder, where two tables take turns. All results come from one pass over that
+    table, are written once, by result, and each sink reads its own folder.
     """
 
     def process(messages: DataFrame, batch: int) -> None:
         checked = check_transactions(raw_transactions_of(messages), header, pivot_year)
         numbered = with_surrogate_id(checked, name="DNI", table=f"{name}-{batch % 2}")
-        for metric, result in speed_metrics(wide_from_rows(accepted(numbered)), options).items():
-            sink(metric, result, batch)
-        sink("rejects", rejected(numbered), batch)
+        results = write_through(tagged_results(numbered, options), f"{name}-results-{batch % 2}", by="result")
+        for result in RESULT_COLUMNS:
+            sink(result, result_of(results, result), batch)
 
     return process
 
