@@ -1,0 +1,93 @@
+"""Runs that are stopped anywhere and repeated give each row once."""
+
+import pytest
+from table_rows import rows
+from test_transactions import OPTIONS, write_input
+
+from tallyhouse.plans.batch import BATCH_OUTPUTS, run_batch
+from tallyhouse.sinks import publish
+from tallyhouse.sinks.publish import check_formats, publish_run, published_runs
+
+FORMATS = {"recent_rows": "parquet"}
+
+
+class Stopped(Exception):
+    pass
+
+
+def batch(spark, source, out, run_id, **options):
+    return run_batch(spark, source, out, OPTIONS, formats=FORMATS, pivot_year=46, run_id=run_id, **options)
+
+
+def counts(spark, out):
+    readers = {"csv": spark.read.csv, "csv.gzip": spark.read.csv, "json": spark.read.json, "parquet": spark.read.parquet}
+    found = [readers[FORMATS.get(name, kind)](f"{out}/{path}").count() for name, (path, kind) in BATCH_OUTPUTS.items()]
+    return [*found, spark.read.json(f"{out}/rejects.json").count()]
+
+
+def test_a_run_is_published_once(spark, tmp_path):
+    source, out = write_input(tmp_path / "in"), str(tmp_path / "out")
+    assert batch(spark, source, out, "monday") is True
+    assert batch(spark, source, out, "monday") is False
+    assert counts(spark, out) == [3, 2, 2, 1, 3, 1] and published_runs(spark, out) == ["monday"]
+    assert batch(spark, source, out, "tuesday") is True
+    assert counts(spark, out) == [6, 4, 4, 2, 6, 2] and published_runs(spark, out) == ["monday", "tuesday"]
+    assert not (tmp_path / "out" / "_staging" / "monday").exists()
+
+
+@pytest.mark.parametrize("sinks", [0, 1, 3, 5])
+def test_a_run_stopped_between_two_sinks(spark, tmp_path, monkeypatch, sinks):
+    source, out = write_input(tmp_path / "in"), str(tmp_path / "out")
+    write, written = publish.write_files, []
+
+    def failing(*arguments):
+        if len(written) == sinks:
+            raise Stopped
+        written.append(write(*arguments))
+
+    monkeypatch.setattr(publish, "write_files", failing)
+    with pytest.raises(Stopped):
+        batch(spark, source, out, "r")
+    assert not list((tmp_path / "out").glob("[!_]*")), "nothing is seen yet"
+    monkeypatch.undo()
+    assert batch(spark, source, out, "r") and counts(spark, out) == [3, 2, 2, 1, 3, 1]
+
+
+@pytest.mark.parametrize("moves", [0, 1, 4])
+def test_a_run_stopped_while_it_is_published(spark, tmp_path, monkeypatch, moves):
+    source, out = write_input(tmp_path / "in"), str(tmp_path / "out")
+    move, moved = publish.Folders.move, []
+
+    def failing(self, *paths):
+        if len(moved) == moves:
+            raise Stopped
+        moved.append(move(self, *paths))
+
+    monkeypatch.setattr(publish.Folders, "move", failing)
+    with pytest.raises(Stopped):
+        batch(spark, source, out, "r")
+    monkeypatch.undo()
+    monkeypatch.setattr(publish, "write_files", None)  # the complete stage is not made again
+    assert batch(spark, source, out, "r") and counts(spark, out) == [3, 2, 2, 1, 3, 1]
+    assert batch(spark, source, out, "r") is False
+
+
+def test_formats_are_checked_first(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown"):
+        check_formats(spark, {"x": "xls"})
+    source = write_input(tmp_path / "in")
+    with pytest.raises(ValueError, match="recent_rows"):
+        run_batch(spark, source, str(tmp_path / "out"), OPTIONS, formats={"recent_rows": "xls"}, pivot_year=46)
+    if not publish._installed(spark, "avro"):
+        with pytest.raises(ValueError, match="class path"):
+            run_batch(spark, source, str(tmp_path / "out"), OPTIONS, pivot_year=46)
+    assert not (tmp_path / "out").exists()
+    with pytest.raises(ValueError, match="append"):
+        batch(spark, source, str(tmp_path / "out"), "r", mode="overwrite")
+
+
+def test_outputs_of_any_tables(spark, tmp_path):
+    made = {"numbers": (spark.range(5), "parquet"), "none": (spark.range(0), "json")}
+    assert publish_run(spark, str(tmp_path), "a/1".replace("/", "-"), lambda: made)
+    assert rows(spark.read.parquet(str(tmp_path / "numbers"))) == [(i,) for i in range(5)]
+    assert published_runs(spark, str(tmp_path)) == ["a-1"]
