@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 # The default broker, topics and pacing of the speed jobs.
 BROKERS = "localhost:9092"
@@ -14,9 +17,47 @@ CONSTANT_ROWS_PER_BATCH = 2000
 CONSTANT_VALUES_BELOW = 2000
 
 
-def kafka_source_options(topic: str, brokers: str = BROKERS, starting: str = "latest") -> dict[str, str]:
+@dataclass(frozen=True)
+class Admission:
+    """How much of a backlog a micro-batch may take, from what the job gets done in an interval.
+
+    ``rows_per_second`` is the measured speed of the whole job (see :func:`measured_speed`),
+    ``interval`` its trigger in seconds. ``headroom`` of the interval is kept free, so that a
+    job that was down catches up in bounded micro-batches instead of one that holds all.
+    """
+
+    rows_per_second: float
+    interval: float
+    headroom: float = 0.3
+
+    def rows(self) -> int:
+        """Rows that one micro-batch may take, at least one."""
+        return max(1, int(self.rows_per_second * self.interval * (1 - self.headroom)))
+
+    def files(self, rows_per_file: float) -> int:
+        return max(1, int(self.rows() / max(1.0, rows_per_file)))
+
+    def kafka_options(self, rows_per_task: int = 100_000) -> dict[str, str]:
+        """Offsets per micro-batch, and enough tasks that none takes many more than ``rows_per_task``."""
+        return {
+            "maxOffsetsPerTrigger": str(self.rows()),
+            "minPartitions": str(max(1, -(-self.rows() // rows_per_task))),
+        }
+
+
+def measured_speed(query: StreamingQuery) -> float | None:
+    """Rows per second that a query's recent micro-batches got done, None before the first with rows."""
+    done = [progress for progress in query.recentProgress if progress.numInputRows]
+    seconds = sum(progress.durationMs["triggerExecution"] for progress in done) / 1000
+    return sum(progress.numInputRows for progress in done) / seconds if seconds else None
+
+
+def kafka_source_options(
+    topic: str, brokers: str = BROKERS, starting: str = "latest", admission: Admission | None = None
+) -> dict[str, str]:
     """Reader options. Offsets live in each query's checkpoint, not in a consumer group."""
-    return {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": starting}
+    options = {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": starting}
+    return {**options, **(admission.kafka_options() if admission else {})}
 
 
 def message_values(records: DataFrame, arrival: str | None = None) -> DataFrame:
@@ -28,11 +69,16 @@ def message_values(records: DataFrame, arrival: str | None = None) -> DataFrame:
 
 
 def kafka_stream(
-    spark: SparkSession, topic: str, brokers: str = BROKERS, starting: str = "latest", arrival: str | None = None
+    spark: SparkSession,
+    topic: str,
+    brokers: str = BROKERS,
+    starting: str = "latest",
+    arrival: str | None = None,
+    admission: Admission | None = None,
 ) -> DataFrame:
     """Text values of a topic. Needs the Kafka connector on the class path."""
-    records = spark.readStream.format("kafka").options(**kafka_source_options(topic, brokers, starting)).load()
-    return message_values(records, arrival)
+    options = kafka_source_options(topic, brokers, starting, admission)
+    return message_values(spark.readStream.format("kafka").options(**options).load(), arrival)
 
 
 def line_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
