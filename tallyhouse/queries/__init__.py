@@ -2,6 +2,7 @@
 
 from tallyhouse.queries import (  # noqa: F401  (importing a module registers its queries)
     aggregations,
+    chains,
     expressions,
     inputs,
     jobs,

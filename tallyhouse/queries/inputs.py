@@ -12,7 +12,7 @@ from tallyhouse.queries.registry import WITH_LINES, query, table
 from tallyhouse.schemas import PERSON
 from tallyhouse.sinks.catalog import publish_view
 from tallyhouse.sources.files import as_schema, drop_header, query_files, typed_fields
-from tallyhouse.sources.replay import replay_sample
+from tallyhouse.sources.replay import replay_files, replay_sample
 from tallyhouse.sources.transactions import accepted, check_transactions, raw_transactions_of, rejected
 
 PART_FIELDS = T.StructType([
@@ -82,7 +82,19 @@ def src_replay_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_sample(events, order_by=["event_id"], position=F.col("draw") * 7919)
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("""
+WITH rows_of AS (SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events),
+     draws AS (SELECT i AS draw, (i * 104729) % (SELECT count(*) FROM events) AS pos FROM range(1000) r(i))
+SELECT draw, event_id, user_id, event_type FROM draws JOIN rows_of USING (pos)
+""")
+def src_replay_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The events lie in their files by rising id, so that SQL can tell the places as well.
+    return replay_files(
+        spark, f"{sf_dir}/events.parquet", ["event_id", "user_id", "event_type"], position=F.col("draw") * 104729
+    )
+
+
+def transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as transaction messages: every 11th too short, every 13th with a bad amount."""
     orders = table(spark, sf_dir, "orders")
     key, day = F.col("o_orderkey"), F.col("o_orderdate")
@@ -114,7 +126,7 @@ SELECT o_orderkey AS tid, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS
 FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0
 """)
 def src_transaction_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = accepted(check_transactions(raw_transactions_of(_messages(spark, sf_dir)), pivot_year=46))
+    rows = accepted(check_transactions(raw_transactions_of(transaction_messages(spark, sf_dir)), pivot_year=46))
     return rows.select(
         "tid", "importe", "fecha", F.hour("momento").cast("long").alias("hour"), "descripcion", "categoria",
         "tarjetaCredito", "geolocalizacion.ciudad", "geolocalizacion.pais", "geolocalizacion.latitud",
@@ -127,7 +139,7 @@ SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'field count' ELSE 'amount' END AS rea
 FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 GROUP BY 1
 """)
 def src_transaction_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = rejected(check_transactions(raw_transactions_of(_messages(spark, sf_dir)), pivot_year=46))
+    bad = rejected(check_transactions(raw_transactions_of(transaction_messages(spark, sf_dir)), pivot_year=46))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -3,10 +3,10 @@
 import math
 
 import pytest
-from table_rows import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from table_rows import rows
 
 from tallyhouse.operators.grouping import counted_while_read, fold, fold_by_key, group_values, mean_of_matched
 from tallyhouse.operators.joins import drop_listed, join_nested, keep_listed, pair_join
@@ -15,8 +15,9 @@ from tallyhouse.operators.sets import distinct_rows, drop_duplicates, intersect_
 from tallyhouse.sources.replay import replay_sample
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-PAIRS = [("a", 1), ("b", 2), ("c", 4), ("b", 10), ("b", 18), ("a", 2)]
-OTHERS = [("a", 1), ("y", 2), ("z", 4), ("b", 10), ("x", 18), ("w", 2)]
+# A key repeated on both sides, one on each side alone, a repeated row, null keys.
+PAIRS = [("north", 3), ("south", 8), ("north", 5), (None, 1), ("east", 9), ("south", 8)]
+OTHERS = [("south", 20), ("north", 30), ("south", 21), ("west", 40), (None, 50)]
 
 
 @pytest.fixture(scope="module")
@@ -66,38 +67,42 @@ def test_row_ids_are_unique(spark):
 
 
 def test_first_per_key(spark, pairs):
-    assert rows(first_per_key(pairs, ["k"], [F.desc("v")])) == [("a", 2), ("b", 18), ("c", 4)]
-    assert rows(first_per_key(pairs, ["k"], ["v"], n=2)) == [("a", 1), ("a", 2), ("b", 10), ("b", 2), ("c", 4)]
+    assert rows(first_per_key(pairs, ["k"], [F.desc("v")])) == [("east", 9), ("north", 5), ("south", 8), (None, 1)]
+    two = [("east", 9), ("north", 3), ("north", 5), ("south", 8), ("south", 8), (None, 1)]
+    assert rows(first_per_key(pairs, ["k"], ["v"], n=2)) == two
 
 
 def test_pair_joins(pairs, others):
     inner = rows(pair_join(pairs, others, "k"))
-    assert inner == sorted([("a", 1, 1), ("a", 2, 1), ("b", 2, 10), ("b", 10, 10), ("b", 18, 10)], key=str)
+    south = [("south", 8, 20), ("south", 8, 20), ("south", 8, 21), ("south", 8, 21)]
+    assert inner == [("north", 3, 30), ("north", 5, 30), *south]
     left = rows(pair_join(others, pairs, "k", "left"))
-    assert len(left) == 9 and [row for row in left if row[2] is None] == [("w", 2, None), ("x", 18, None), ("y", 2, None), ("z", 4, None)]
+    assert len(left) == 8 and [row for row in left if row[2] is None] == [("west", 40, None), (None, 50, None)]
     right = rows(pair_join(pairs, others, "k", "right"))
-    assert len(right) == 9 and sum(row[1] is None for row in right) == 4
+    assert len(right) == 8 and [row for row in right if row[1] is None] == [("west", None, 40), (None, None, 50)]
 
 
 def test_nested_join(spark):
-    users = spark.createDataFrame([(1, "John"), (2, "Mary"), (3, "Mark")], "id int, name string")
-    accounts = spark.createDataFrame([(1, "#1", 1000), (1, "#2", 500), (2, "#3", 750)], "id int, account string, salary int")
+    users = spark.createDataFrame([(10, "Ada"), (20, "Bo"), (30, "Cy"), (None, "Di")], "id int, name string")
+    accounts = spark.createDataFrame(
+        [(30, "z", 9), (20, "x", 5), (20, "y", 7), (99, "q", 1), (None, "n", 2)], "id int, account string, salary int"
+    )
     found = join_nested(users, accounts, "id")
     assert rows(found.select("id", "name", "value.account", "value.salary")) == [
-        (1, "John", "#1", 1000), (1, "John", "#2", 500), (2, "Mary", "#3", 750)
+        (20, "Bo", "x", 5), (20, "Bo", "y", 7), (30, "Cy", "z", 9)
     ]
 
 
 def test_lookup_lists(spark, pairs):
-    listed = spark.createDataFrame([("a",), ("q",)], "k string")
-    assert rows(keep_listed(pairs, listed, "k")) == [("a", 1), ("a", 2)]
+    listed = spark.createDataFrame([("north",), ("nowhere",)], "k string")
+    assert rows(keep_listed(pairs, listed, "k")) == [("north", 3), ("north", 5)]
     assert len(rows(drop_listed(pairs, listed, "k"))) == 4
 
 
 def test_keyed_sums_and_groups(spark, pairs):
-    assert rows(pairs.groupBy("k").agg(F.sum("v"))) == [("a", 3), ("b", 30), ("c", 4)]
-    keyed = spark.createDataFrame([("key1", 1), ("key2", 2), ("key1", 3)], "k string, v int").coalesce(1)
-    assert rows(group_values(keyed, ["k"], "v").select("k", "grouped")) == [("key1", [1, 3]), ("key2", [2])]
+    assert rows(pairs.groupBy("k").agg(F.sum("v"))) == [("east", 9), ("north", 8), ("south", 16), (None, 1)]
+    keyed = spark.createDataFrame([("u", 4), ("v", 6), ("u", 2)], "k string, v int")
+    assert rows(group_values(keyed, ["k"], "v").select("k", "grouped")) == [("u", [2, 4]), ("v", [6])]
 
 
 def test_grouped_values_are_whole_and_bounded(spark):

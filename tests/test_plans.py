@@ -5,8 +5,6 @@ import pytest
 from tallyhouse.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-# Queries whose feature is a Python function.
-PYTHON = {"agg_fold"}
 
 
 def plan_of(spark, name):
@@ -17,8 +15,7 @@ def plan_of(spark, name):
 def test_no_plan_pairs_everything_or_leaves_the_jvm(spark, name):
     plan = plan_of(spark, name)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    if name not in PYTHON:
-        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 @pytest.mark.parametrize("name, pushed", [
@@ -56,13 +53,23 @@ def test_top_rows_need_no_full_sort(spark, name):
 
 
 @pytest.mark.parametrize("name", [
-    "win_surrogate_id", "srt_by_key", "srt_expr", "srt_two_cols", "srt_city_rows", "srt_desc_count", "src_replay_sample",
+    "win_surrogate_id", "srt_by_key", "srt_expr", "srt_two_cols", "srt_city_rows", "srt_desc_count", "agg_group_values",
 ])
 def test_numbering_never_gathers_the_rows(spark, name):
-    """The only single-task window is over the partition sizes, which are grouped by partition first."""
+    """Numbers come from the ranges' counts: no window runs in a single task, and each is inside a range or key."""
     plan = plan_of(spark, name)
-    single = plan.count("SinglePartition")
-    assert single == plan.count("Window [sum(_rows") == 1
+    assert "SinglePartition" not in plan and ("Window [row_number()" in plan or "Window [sum(_n" in plan)
+
+
+def test_rejects_need_no_category_or_place(spark):
+    plan = QUERIES["src_transaction_rejects"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "reason" in plan
+    assert not any(word in plan for word in ("categoria", "geolocalizacion", "momento", "seguros", "make_dt_interval"))
+
+
+def test_a_line_is_split_once(spark):
+    plan = QUERIES["src_delimited"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
 
 
 @pytest.mark.parametrize("name", ["job_card_mean", "agg_count_by", "job_word_count", "set_intersect", "job_suspicious_same_city"])

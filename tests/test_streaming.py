@@ -3,14 +3,23 @@
 import datetime
 
 import pytest
-from table_rows import rows
 from pyspark.sql import functions as F
+from table_rows import rows
 from test_transactions import HEADER, LINES, OPTIONS, messages
 
-from tallyhouse.plans.fraud import suspicious_multi_city, suspicious_same_city, window_counts
-from tallyhouse.plans.transactions import speed_metrics, wide_from_rows
 from tallyhouse.operators.numbering import with_surrogate_id
-from tallyhouse.sources.streams import constant_rate_stream, line_stream, table_stream, with_arrival_time
+from tallyhouse.plans.fraud import suspicious_multi_city, suspicious_same_city, window_counts
+from tallyhouse.plans.transactions import RESULT_COLUMNS, result_of, speed_metrics, tagged_results, wide_from_rows
+from tallyhouse.session import write_through
+from tallyhouse.sources.streams import (
+    Admission,
+    constant_rate_stream,
+    kafka_source_options,
+    line_stream,
+    measured_speed,
+    table_stream,
+    with_arrival_time,
+)
 from tallyhouse.sources.transactions import accepted, check_transactions, header_of, raw_transactions_of
 from tallyhouse.streaming.control import run_for, to_console
 from tallyhouse.streaming.fraud import fraud_job, suspicious_stream, transactions_of
@@ -183,3 +192,44 @@ def test_console(spark, tmp_path):
     query = to_console(line_stream(spark, str(tmp_path / "in")), str(tmp_path / "ck")).trigger(availableNow=True).start()
     assert run_for(query, 60) is True
     assert sum(progress.numInputRows for progress in query.recentProgress) == 1
+
+
+def test_all_results_of_a_micro_batch_come_from_one_scan(spark, tmp_path):
+    checked = check_transactions(raw_transactions_of(messages(spark)), header_of(HEADER), 46)
+    with_surrogate_id(checked, name="DNI").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plan = tagged_results(table, OPTIONS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    twice = table.union(table)
+    results = write_through(tagged_results(twice, OPTIONS), by="result")
+    assert set(RESULT_COLUMNS) == {row["result"] for row in results.select("result").distinct().collect()}
+    for name, expected in speed_metrics(wide_from_rows(accepted(twice)), OPTIONS).items():
+        assert rows(result_of(results, name)) == rows(expected), name
+    assert rows(result_of(results, "rejects")) == [("bad line", "field count")] * 2
+    plan = result_of(results, "city_rows")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(result" in plan, "a sink reads its own folder"
+
+
+def test_a_backlog_is_taken_in_bounded_micro_batches(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for part in range(12):
+        (folder / f"{part:02}.txt").write_text("".join(f"{part}-{i}\n" for i in range(50)))
+    admission = Admission(rows_per_second=100, interval=2, headroom=0.25)
+    assert admission.rows() == 150 and admission.files(50) == 3 and admission.files(10**9) == 1
+    sizes, values = [], []
+
+    def take(batch, number):
+        found = [row.value for row in batch.collect()]
+        sizes.append(len(found))
+        values.extend(found)
+
+    stream = line_stream(spark, str(folder), admission.files(50))
+    query = stream.writeStream.option("checkpointLocation", str(tmp_path / "ck")).foreachBatch(take)
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sizes == [150] * 4 and sorted(values) == sorted(f"{p}-{i}" for p in range(12) for i in range(50))
+    assert measured_speed(query) > 0
+    options = kafka_source_options("t", admission=Admission(50_000, 15))
+    assert options["maxOffsetsPerTrigger"] == "525000" and options["minPartitions"] == "6"
+    assert "maxOffsetsPerTrigger" not in kafka_source_options("t")
