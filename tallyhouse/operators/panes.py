@@ -7,6 +7,7 @@ rows themselves are never copied per window.
 
 from __future__ import annotations
 
+import datetime
 import math
 import re
 from collections.abc import Mapping, Sequence
@@ -76,46 +77,51 @@ def window_values(
 
     # Each pane stands in its own block, near an edge also in the neighbouring one.
     block = max(_BLOCK_PANES, 2 * size_us // pane_us)
-    own = F.floor(F.col("_number") / block)
-    beside = [F.floor((F.col("_number") + shift) / block) for shift in (-reach, reach)]
-    placed = numbered.select("*", F.explode(F.array_distinct(F.array(own, *beside))).alias("_block"))
+    own, *beside = [F.floor((F.col("_number") + shift) / block) for shift in (0, -reach, reach)]
+    within = (beside[0] == own) & (beside[1] == own)
+    blocks = F.when(within, F.array(own)).otherwise(F.array_distinct(F.array(own, *beside)))
+    placed = numbered.select("*", own.alias("_own"), F.explode(blocks).alias("_block"))
     along = Window.partitionBy(*keys, "_block").orderBy("_number")
     ahead = F.collect_list(F.struct("_number", "_rows", *names)).over(along.rangeBetween(0, reach))
     seen = placed.select(
         "*", F.lag("_number").over(along).alias("_before"), ahead.alias("_ahead")
-    ).where(F.col("_block") == own)
-
-    # Windows whose first pane with rows is this one; the later they start the more they hold.
-    enough = F.aggregate(
-        "_ahead",
-        F.struct(F.lit(0).cast("long").alias("rows"), F.lit(None).cast("long").alias("until")),
-        lambda so_far, pane: F.struct(
-            (so_far["rows"] + pane["_rows"]).alias("rows"),
-            F.coalesce(
-                so_far["until"], F.when(so_far["rows"] + pane["_rows"] >= at_least, pane["_number"])
-            ).alias("until"),
-        ),
-    )["until"]
-    first = F.greatest(F.col("_before") + 1, F.col("_number") - reach, F.col("_until") - reach)
-    starts = seen.withColumn("_until", enough).where(F.col("_until").isNotNull()).select(
-        *keys, "_moment", "_number", "_ahead",
-        F.ceil(first / step).cast("long").alias("_from"), F.floor(F.col("_number") / step).cast("long").alias("_to"),
-    ).where(F.col("_from") <= F.col("_to"))
-    windows = starts.select("*", F.explode(F.sequence("_from", "_to")).alias("_step"))
-    first_pane = F.col("_step") * step
-    inside = F.filter("_ahead", lambda pane: pane["_number"] <= first_pane + reach)
-    back = ((first_pane - F.col("_number")) * F.lit(pane_us / 10**6)).cast("decimal(18,6)")
-    zero = F.lit(0)
-    merged = windows.select(
-        *keys, (F.col("_moment") + F.make_dt_interval(zero, zero, zero, back)).alias("start"), inside.alias("_inside")
+    ).where(F.col("_block") == F.col("_own"))
+
+    # Windows whose first pane with rows is this one. Their last panes run from ``_last`` on: all
+    # of them hold the panes up to that, and those that end later the panes beyond one by one.
+    last = F.greatest(F.col("_before") + 1 + reach, F.col("_number"))
+    ended = seen.withColumn("_last", last).select(
+        *keys, "_moment", "_number", "_last",
+        F.filter("_ahead", lambda pane: pane["_number"] <= F.col("_last")).alias("_held"),
+        F.filter("_ahead", lambda pane: pane["_number"] > F.col("_last")).alias("_beyond"),
     )
-    rest = F.slice("_inside", F.lit(2), F.greatest(F.size("_inside") - 1, zero))
 
-    def put_together(name: str, how: str) -> Column:
+    def put_together(panes: Column, first: Column, name: str, how: str) -> Column:
         merge = MERGES[how]
-        return F.aggregate(rest, F.col("_inside")[0][name], lambda so_far, pane: merge(so_far, pane[name])).alias(name)
-
-    return merged.select("start", *keys, *[put_together(name, how) for name, (_, how) in values.items()])
+        return F.aggregate(panes, first, lambda so_far, pane: merge(so_far, pane[name])).alias(name)
+
+    merges = {"_rows": "sum"} if at_least > 1 else {}
+    merges |= {name: how for name, (_, how) in values.items()}
+    rest = F.slice("_held", F.lit(2), F.greatest(F.size("_held") - 1, F.lit(0)))
+    runs = ended.select(
+        *keys, "_moment", "_number", "_last", "_beyond",
+        *[put_together(rest, F.col("_held")[0][name], name, how) for name, how in merges.items()],
+        F.explode(F.sequence(F.lit(0), F.size("_beyond"))).alias("_more"),
+    )
+    more = F.slice("_beyond", F.lit(1), F.col("_more"))
+    first_end = F.coalesce(F.get("_beyond", F.col("_more") - 1)["_number"], F.col("_last"))
+    last_end = F.coalesce(F.get("_beyond", F.col("_more"))["_number"] - 1, F.col("_number") + reach)
+    merged = runs.select(
+        *keys, "_moment", "_number",
+        *[put_together(more, F.col(name), name, how) for name, how in merges.items()],
+        F.ceil((first_end - reach) / step).cast("long").alias("_from"),
+        F.floor((last_end - reach) / step).cast("long").alias("_to"),
+    ).where(F.col("_from") <= F.col("_to"))
+    if at_least > 1:
+        merged = merged.where(F.col("_rows") >= at_least)
+    windows = merged.select("*", F.explode(F.sequence("_from", "_to")).alias("_step"))
+    back = F.lit(datetime.timedelta(microseconds=pane_us)) * (F.col("_step") * step - F.col("_number"))
+    return windows.select((F.col("_moment") + back).alias("start"), *keys, *names)
 
 
 def stream_window_values(
