@@ -56,7 +56,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_kind(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
+        # Pieces met lately, and those met before them: the rare ones among the latter are forgotten.
         self.held: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.compressor = zstandard.ZstdCompressor(level=1)
         described = json.loads(self.tokenizer.to_str())
         splits = described["pre_tokenizer"] or {}
@@ -85,20 +87,27 @@ class Encoder:
         return made
 
     def rows(self, texts: list[str]) -> list[bytes]:
-        """Compressed ids of each text, the end id last."""
-        held, end, compress = self.held, self.end, self.compressor.compress
-        if len(held) > _PIECES_HELD:
-            held.clear()
+        """Ids of each text as bytes, the end id last."""
+        if len(self.held) > _PIECES_HELD // 2:
+            self.held, self.older = {}, self.held
+        held, older, end = self.held, self.older, self.end
         if not self.cuts:
-            return [compress(one + end) for one in self.encode_all(texts)]
+            return [one + end for one in self.encode_all(texts)]
         pieces = list(map(_PIECE.findall, texts))
-        missing = set().union(*pieces).difference(held)
+        met = set().union(*pieces)
+        missing = met.difference(held)
+        known = missing & older.keys()
+        held.update(zip(known, map(older.__getitem__, known)))
+        missing -= known
         runs = {one for one in missing if len(one) > 1 and one.isspace()}
         if runs:
             pieces = [some if runs.isdisjoint(some) else [text] for some, text in zip(pieces, texts)]
-            missing = set().union(*pieces).difference(held)
+            met = set().union(*pieces)
+            missing = met.difference(held)
         held.update(self.encode_pieces(list(missing)))
-        rows = [compress(b"".join(map(held.__getitem__, some)) + end) for some in pieces]
+        # A small table of this batch's pieces is quicker to look into, time after time, than all.
+        ids_of = dict(zip(met, map(held.__getitem__, met))).__getitem__
+        rows = [b"".join(map(ids_of, some)) + end for some in pieces]
         # Long pieces, whole texts among them, and runs of white space are met anew each time.
         for one in missing:
             if len(one) > 100 or one.isspace():
@@ -114,13 +123,18 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 def encoded(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
-    """doc_id and the ids of each whole text, ``end_id`` last: compressed little-endian bytes."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    """(doc_id, ids, counts): the ids of each whole text, ``end_id`` last, as compressed little-endian bytes.
+
+    Each task adds one row without ``ids`` whose ``counts`` hold how often it met each id,
+    compressed 64-bit numbers by rising id. See :func:`id_counts`.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, end_id) not in _encoders:
             _encoders[path, end_id] = Encoder(path, end_id)
         encoder = _encoders[path, end_id]
+        compress, counts = encoder.compressor.compress, np.zeros(0, np.int64)
         for batch in batches:
             names, texts, size = [], [], 0
             for i in range(batch.num_rows):
@@ -128,33 +142,37 @@ def encoded(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
                 texts.append(batch.column(1)[i].as_py() or "")
                 size += len(texts[-1])
                 if size >= _AT_A_TIME or i + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names, pa.int64()), pa.array(encoder.rows(texts), pa.binary())], schema=schema
-                    )
+                    rows = encoder.rows(texts)
+                    more = np.bincount(np.frombuffer(b"".join(rows), encoder.kind), minlength=len(counts))
+                    more[: len(counts)] += counts
+                    counts = more
+                    arrays = [pa.array(names, pa.int64()), pa.array(map(compress, rows), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(names), pa.binary())], schema=schema)
                     names, texts, size = [], [], 0
+        if len(counts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([compress(counts.tobytes())])], schema=schema
+            )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, counts binary")
 
 
 def unzipped(value: pa.Scalar, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(value.as_py()), kind)
 
 
-def id_counts(ids: DataFrame, kind: type) -> DataFrame:
-    """(id, n): counted in each task first, so a task sends at most one row per id."""
+def id_counts(rows: DataFrame) -> DataFrame:
+    """(id, n) from the counts that the tasks of :func:`encoded` left; the ids themselves are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                some = [unzipped(value, kind) for value in batch.column(0).slice(start, 256)]
-                more = np.bincount(np.concatenate(some), minlength=len(counts))
-                more[: len(counts)] += counts
-                counts = more
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["id", "n"])
+            for value in batch.column(0):
+                counts = unzipped(value, np.int64)
+                found = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], names=["id", "n"])
 
-    return ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    left = rows.where(F.col("counts").isNotNull()).select("counts")
+    return left.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -219,8 +237,9 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, end_id: i
     spark = documents.sparkSession
     opened = Tokenizer.from_file(tokenizer)
     size, kind = max(opened.get_vocab_size(), end_id + 1), id_kind(opened, end_id)
-    ids = write_through(encoded(documents, tokenizer, end_id))
-    order = [row["id"] for row in id_counts(ids, kind).orderBy(F.desc("n"), "id").collect()]
+    made = write_through(encoded(documents, tokenizer, end_id))
+    ids = made.where(F.col("ids").isNotNull()).select("doc_id", "ids")
+    order = [row["id"] for row in id_counts(made).orderBy(F.desc("n"), "id").collect()]
     spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.mode("overwrite").parquet(f"{path}/ranks")
     ranks_of_ids = np.zeros(size, np.uint32)
     ranks_of_ids[order] = np.arange(len(order), dtype=np.uint32)
