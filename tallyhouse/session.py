@@ -77,6 +77,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _written_path(spark: SparkSession, name: str = "") -> str:
+    return f"{shared_dir(spark)}/tallyhouse/{spark.sparkContext.applicationId}/{name}".rstrip("/")
+
+
+def remove_written(spark: SparkSession, name: str = "") -> bool:
+    """Delete the table ``name`` that :func:`write_through` made, or all tables of this application.
+
+    For the end of a job: results that still read a written table fail afterwards. True if
+    there was anything to delete.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_written_path(spark, name))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_through(df: DataFrame, name: str | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
@@ -86,8 +100,7 @@ def write_through(df: DataFrame, name: str | None = None, by: str | None = None)
     only that.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/tallyhouse/{application}/{name or uuid.uuid4().hex}"
+    path = _written_path(spark, name or uuid.uuid4().hex)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from tallyhouse.functions.columns import ColumnLike, as_column
 from tallyhouse.functions.numbers import try_parse
 from tallyhouse.functions.text import split_trimmed, trim_controls
 from tallyhouse.schemas import MALFORMED
+from tallyhouse.session import write_through
 
 
 def with_malformed(schema: T.StructType) -> T.StructType:
@@ -59,6 +62,43 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return reader.json(path)
 
 
+# Types that a schema of variants names and a table cannot have: no value at all, and values of several types.
+_UNTABLED = re.compile(r"\b(?:VOID|VARIANT)\b(?=[,>]|\Z)")
+
+
+def read_json_once(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """JSON lines whose schema is found while the files are read once.
+
+    Each line is parsed into a variant and written to the shared folder; the schema is gathered
+    from the variants there (or given), and the columns are cast from them. A field whose
+    values are of several types, or always null, is text. A line that is no JSON object
+    has nulls and is kept whole in the ``malformed_line`` column.
+    """
+    parsed = read_lines(spark, path).select("value", F.try_parse_json("value").alias("_json"))
+    is_object = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
+    held = write_through(
+        parsed.where(F.trim("value") != "").select(
+            F.when(is_object, F.col("_json")).alias("_json"), F.when(~is_object, F.col("value")).alias(MALFORMED)
+        )
+    )
+    if schema is None:
+        gathered = held.where(F.col("_json").isNotNull()).agg(F.schema_of_variant_agg("_json")).first()[0] or ""
+        if not gathered.startswith("OBJECT<") or gathered == "OBJECT<>":
+            return held.select(MALFORMED)
+        kind = _UNTABLED.sub("STRING", re.sub(r"\bOBJECT<", "STRUCT<", gathered)).replace("STRUCT<>", "STRING")
+        schema = T.StructType.fromDDL(kind)
+    # Field by field, so that a value that does not fit a given type is null by itself.
+    return held.select(*[
+        F.try_variant_get("_json", _member(field.name), field.dataType.simpleString()).alias(field.name)
+        for field in schema.fields
+    ], MALFORMED)
+
+
+def _member(name: str) -> str:
+    quote = '"' if "'" in name else "'"
+    return f"$[{quote}{name}{quote}]"
+
+
 def query_files(spark: SparkSession, file_format: str, path: str) -> DataFrame:
     """All rows of files addressed directly from SQL."""
     return spark.sql(f"SELECT * FROM {file_format}.`{path}`")

@@ -1,16 +1,18 @@
 """Readers, writers, views, tables, Kafka records, session facts, text and incident jobs."""
 
+from pathlib import Path
+
 import pytest
-from table_rows import rows
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from table_rows import rows
 
 from tallyhouse.plans import incidents, text
 from tallyhouse.plans.ratings import mean_rating, ratings_per_item
 from tallyhouse.schemas import DEPARTMENT, MOVIE, PERSON, PERSON_WITH_DEPARTMENT, RATING, USER
-from tallyhouse.session import build_session, session_info, shared_dir, write_through
+from tallyhouse.session import build_session, remove_written, session_info, shared_dir, write_through
 from tallyhouse.sinks.catalog import create_table, load_into_table, publish_view
 from tallyhouse.sinks.files import write_files, write_pairs, write_text
 from tallyhouse.sinks.kafka import encode_rows, kafka_sink_options, topic_records, write_kafka
@@ -19,6 +21,7 @@ from tallyhouse.sources.files import (
     drop_header,
     query_files,
     read_csv_text,
+    read_json_once,
     read_delimited,
     read_json,
     read_lines,
@@ -225,3 +228,42 @@ def test_incident_jobs(spark, tmp_path):
     short = spark.createDataFrame([("a,b",)], "value string")
     assert rows(incidents.incident_fields(short)) == [(None, None)]
     assert incidents.mean_with_default(incidents.incident_fields(short)).first().mean_age == 25
+
+
+JSON_LINES = """{"name":"ana","age":30,"home":{"city":"Rome","zip":null},"tags":["a","b"],"mixed":1}
+{"name":"ben","age":null,"home":{"city":"Oslo","since":2.5},"mixed":"x","none":null}
+not json
+[1]
+
+{"age":31,"a b":true,"it's":5,"home":{},"tags":[]}
+"""
+
+
+def test_json_schema_from_one_read(spark, tmp_path):
+    source = put(tmp_path / "j", "a.json", JSON_LINES)
+    found = read_json_once(spark, source)
+    kinds = dict(found.dtypes)
+    assert kinds["age"] == "bigint" and kinds["tags"] == "array<string>" and kinds["mixed"] == kinds["none"] == "string"
+    assert kinds["home"] == "struct<city:string,since:decimal(2,1),zip:string>" and kinds["a b"] == "boolean"
+    people = {row["name"]: row for row in found.where("malformed_line IS NULL").collect()}
+    assert people["ana"]["home"]["city"] == "Rome" and people["ana"]["tags"] == ["a", "b"] and people["ana"]["mixed"] == "1"
+    assert people["ben"]["age"] is None and people["ben"]["mixed"] == "x" and float(people["ben"]["home"]["since"]) == 2.5
+    assert people[None]["a b"] is True and people[None]["it's"] == 5 and people[None]["tags"] == []
+    assert sorted(row[0] for row in found.select("malformed_line").dropna().collect()) == ["[1]", "not json"]
+    assert not [file for file in found.inputFiles() if source in file], "the source is not read again"
+
+
+def test_json_once_with_a_schema_and_without_rows(spark, tmp_path):
+    source = put(tmp_path / "j", "a.json", '{"name":"ana","age":"old"}\n{"name":"ben","age":"7","x":1}\n')
+    assert rows(read_json_once(spark, source, PERSON)) == [("ana", None, None), ("ben", 7, None)]
+    assert read_json_once(spark, put(tmp_path / "e", "a.json", "\n")).collect() == []
+    assert rows(read_json_once(spark, put(tmp_path / "b", "a.json", "bad\n"))) == [("bad",)]
+
+
+def test_written_tables_are_removed(spark):
+    path = f"{shared_dir(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+    kept = write_through(spark.range(3), "kept-table")
+    gone = write_through(spark.range(4), "gone-table")
+    assert remove_written(spark, "gone-table") and not remove_written(spark, "gone-table")
+    assert kept.count() == 3 and not Path(path, "gone-table").exists() and Path(path, "kept-table").exists()
+    assert gone.columns == ["id"]
