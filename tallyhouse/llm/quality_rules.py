@@ -31,8 +31,9 @@ class Bands:
     """Limits on compressed size / size.
 
     ``document`` holds (largest length in bytes, lower limit, upper limit) by rising length,
-    ``chunk`` the limits of one full chunk of ``chunk_bytes``. A document is rejected when
-    its ratio leaves its band, or when more than ``bad_share`` of its full chunks leave theirs.
+    ``chunk`` the limits of one full chunk of ``chunk_bytes``, ``tail`` those of the shorter last
+    one by its length. A document is rejected when its ratio leaves its band, or when chunks
+    with more than ``bad_share`` of its bytes leave theirs.
     """
 
     document: Sequence[tuple[float, float, float]] = (
@@ -45,6 +46,13 @@ class Bands:
     )
     chunk_bytes: int = 2048
     chunk: tuple[float, float] = (0.10, 0.85)
+    # As texts of that length; a few dozen bytes say nothing, the frame alone makes them longer.
+    tail: Sequence[tuple[float, float, float]] = (
+        (64, 0.0, float("inf")),
+        (256, 0.25, 1.30),
+        (1024, 0.16, 0.92),
+        (float("inf"), 0.12, 0.80),
+    )
     bad_share: float = 0.5
     level: int = 3
 
@@ -84,19 +92,27 @@ def repeat_words(words: list[bytes]) -> int:
 
 
 def compression(text: str, bands: Bands, compressor: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Ratio of the whole text, share of bad chunks, and whether both are accepted."""
+    """Ratio of the whole text, share of its bytes in bad chunks, and whether both are accepted."""
     data = text.encode()
     if not data:
         return 0.0, 0.0, False
     ratio = len(compressor.compress(data)) / len(data)
-    low, high = next((low, high) for most, low, high in bands.document if len(data) <= most)
-    size = bands.chunk_bytes
-    chunks = [data[start : start + size] for start in range(0, len(data) - size + 1, size)]
-    bad = sum(not bands.chunk[0] <= len(compressor.compress(chunk)) / size <= bands.chunk[1] for chunk in chunks)
-    share = bad / len(chunks) if chunks else 0.0
+    low, high = band(bands.document, len(data))
+    bad = 0
+    for start in range(0, len(data), bands.chunk_bytes):
+        chunk = data[start : start + bands.chunk_bytes]
+        least, most = bands.chunk if len(chunk) == bands.chunk_bytes else band(bands.tail, len(chunk))
+        if not least <= len(compressor.compress(chunk)) / len(chunk) <= most:
+            bad += len(chunk)
+    share = bad / len(data)
     return ratio, share, low <= ratio <= high and share <= bands.bad_share
 
 
+def band(bands: Sequence[tuple[float, float, float]], length: int) -> tuple[float, float]:
+    """The limits for a length."""
+    return next((low, high) for most, low, high in bands if length <= most)
+
+
 class Judge:
     """Features and verdict of one text; the compressor is made once in each worker."""
 
