@@ -13,7 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRIPLES, PAIRS = 1 << 13, 1 << 11
@@ -165,16 +165,16 @@ def learn(documents: DataFrame, per_language: int = 400, most: int = 4000) -> La
                         names=["lang", "draw", "places", "numbers"],
                     )
 
-    rows = likely.mapInArrow(run, "lang string, draw long, places array<int>, numbers array<float>").collect()
-    taken: dict[str, int] = {}
+    # Many rows of one id share a draw, so the number of each language is cut here, not on the driver.
+    order = Window.partitionBy("lang").orderBy("draw", "places", "numbers")
+    found = likely.mapInArrow(run, "lang string, draw long, places array<int>, numbers array<float>")
+    chosen = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= wanted)
     languages, vectors = [], []
-    for row in sorted(rows, key=lambda row: (row["lang"], row["draw"])):
-        taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-        if taken[row["lang"]] <= wanted:
-            x = np.zeros(SIZE, np.float32)
-            x[row["places"]] = row["numbers"]
-            languages.append(row["lang"])
-            vectors.append(x)
+    for row in sorted(chosen.collect(), key=lambda row: (row["lang"], row["rank"])):  # at most ``most`` rows
+        x = np.zeros(SIZE, np.float32)
+        x[row["places"]] = row["numbers"]
+        languages.append(row["lang"])
+        vectors.append(x)
     return LanguageModel.train(languages, np.stack(vectors)) if vectors else LanguageModel()
 
 
@@ -205,4 +205,8 @@ def predicted(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def identify(documents: DataFrame, per_language: int = 400, most: int = 4000) -> DataFrame:
+    """:func:`predicted` by a model that :func:`learn` makes of the same documents.
+
+    Rows without an id are predicted, but not learned from.
+    """
     return predicted(documents, learn(documents, per_language, most))
