@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import map_rows
+from tallyhouse.llm.common import freed, map_rows
 
 MARK = "▁"
 # Values of the model file's format: piece types and model types.
@@ -358,7 +358,7 @@ def with_pieces(documents: DataFrame, model: str, text: str = "text", name: str
                 yield pa.RecordBatch.from_arrays([*piece.columns, ids], names=[*names, name])
 
     schema = T.StructType([*kept.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(freed(run), schema)
 
 
 def decoded(table: DataFrame, model: str, key: str = "doc_id", ids: str = "piece_ids") -> DataFrame:

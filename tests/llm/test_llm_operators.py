@@ -270,3 +270,54 @@ def test_secret_network(spark, odd, none):
     assert all(made[i][0] == 1 for i, _ in found)
     assert sum("network" in made[i][1] for i, _ in plain) <= 3
     assert secrets.secrets(odd).count() == len(ROWS) and secrets.secrets(none).count() == 0
+
+
+def test_quality_judges_the_last_chunk():
+    judge = quality_rules.Judge(quality_rules.Bands())
+    draws = np.random.default_rng(4)
+    letters = [chr(c) for c in range(33, 127)]
+    noise = " ".join("".join(draws.choice(letters, 30)) for _ in range(60))  # 1,859 characters
+    words = [f"{a}{b}" for a in ("river", "stone", "candle", "market", "garden") for b in ("", "s", "side", "ward", "less")]
+    plain = (" ".join(draws.choice(words, 400)))[:2048]
+    assert len(noise) == 1859 and judge(noise)[6] is False and judge(plain)[6] and judge(plain)[-1] == 0
+    assert judge(plain + noise)[-1] == 1859 / (2048 + 1859), "the last chunk counts by its bytes"
+    assert judge(plain[:1500] + noise)[-1] > 0, "also if it is a part of the noise"
+    assert judge(noise + noise[:300])[6] is False and judge(plain + "x")[-1] == 0
+
+
+def test_sanitised_rows_of_any_columns(spark):
+    schema = "doc_id long, text string, _id string, _rows int, n_chars string, row double, terms int"
+    rows = [(1, "mail to ann@example.org now", "a", 1, "x", 1.0, 2), (None, "call +34 600 123 456 today", "b", 2, "y", 2.0, 3),
+            (None, "call +34 600 123 456 today", "b", 2, "y", 2.0, 3), (2, None, "c", 3, "z", None, None), (3, "", "d", 4, None, 4.0, 5)]
+    table = spark.createDataFrame(rows, schema).repartition(2)
+    made = pii.sanitised(table)
+    assert made.schema == table.schema
+    found = sorted(map(tuple, made.collect()), key=str)
+    marked = [(r[0], {1: "mail to <EMAIL> now", None: "call <PHONE> today"}.get(r[0], r[1]), *r[2:]) for r in rows]
+    assert found == sorted(marked, key=str)
+    assert pii.sanitised(table.limit(0)).count() == 0
+
+
+def test_terms_reach_rows_of_one_id(spark):
+    near = "the agent Zorblax wrote to spy@example.org from here"
+    rows = [(None, f"{near} {i} {word}") for i, word in enumerate("alpha beta gamma delta omega".split())]
+    rows += [(i, f"plain words number {i} of many others") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = [r["text"] for r in pii.sanitised(table).collect() if "EMAIL" in r["text"]]
+    assert len(texts) == 5 and all("Zorblax" not in text and "<TERM>" in text for text in texts)
+
+
+def test_text_hash_is_that_of_spark(spark):
+    texts = ["", "a", "häßlich 𝄞", "x" * 1000]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [pii.text_hash(t) for t in texts] == [r[0] for r in table.select(F.xxhash64("text")).collect()]
+
+
+def test_learning_rows_of_one_id_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id.LanguageModel, "train", lambda languages, vectors: seen.append(len(languages)))
+    ids = spark.range(3000).select(F.col("id").alias("doc_id")).where(~language_id.held_out())
+    learned = ids.orderBy(F.xxhash64("doc_id", F.lit(11))).first()["doc_id"]  # all its rows pass the limit of draws
+    rows = [(learned, f"words of text {i}", "en") for i in range(3000)]
+    language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), per_language=50)
+    assert seen == [50]
