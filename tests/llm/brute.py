@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
+from html.parser import HTMLParser
+
+from tallyhouse.llm import html_text as page_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -155,3 +158,81 @@ def hard_negatives(rows, every=100, positives=5, negatives=5, low=80):
             fits = [(s, i) for s, i, kind in scored if kind != label and low * -minus <= 100 * -s <= 100 * -minus]
             out += [(anchor, positive, rank, i, -minus, -s) for rank, (s, i) in enumerate(fits[:negatives], 1)]
     return sorted(out)
+
+
+class _Walk(HTMLParser):
+    """(text, share of link characters, names of the open elements, marked) of the blocks of plain pages."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.pieces, self.found, self.skipped, self.link = [], [], [], "", False
+
+    def cut(self):
+        text = " ".join("".join(p for p, _ in self.pieces).split())
+        if text:
+            linked = sum(len(p) for p, link in self.pieces if link and p.strip())
+            self.found.append((text, linked / len(text), [tag for tag, _ in self.open], any(ad for _, ad in self.open)))
+        self.pieces = []
+
+    def handle_starttag(self, tag, attrs):
+        if self.skipped or tag in page_rules.RAW:
+            self.skipped = self.skipped or tag
+        elif tag == "a":
+            self.link = True
+        elif tag == "br":
+            self.pieces.append(("\n", False))
+        elif tag in page_rules.BLOCKS:
+            self.cut()
+            if tag in ("p", "li") and self.open and self.open[-1][0] == tag:
+                self.open.pop()
+            if tag not in page_rules.VOID:
+                self.open.append((tag, dict(attrs).get("class") == "ad"))
+
+    def handle_endtag(self, tag):
+        if self.skipped:
+            self.skipped = "" if tag == self.skipped else self.skipped
+        elif tag == "a":
+            self.link = False
+        elif tag in page_rules.BLOCKS:
+            self.cut()
+            if tag in [name for name, _ in self.open]:
+                while self.open.pop()[0] != tag:
+                    pass
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.pieces.append((data, self.link))
+
+
+def main_text(html):
+    """Block rules on the open elements of a page whose only marked class is ``ad``, every neighbour looked at."""
+    walk = _Walk()
+    walk.feed(html)
+    walk.close()
+    walk.cut()
+    rows = []
+    for text, linked, tags, ad in walk.found:
+        stops = [re.sub(r"^\W+|\W+$", "", word) in page_rules.STOP_WORDS for word in text.lower().split()]
+        share = sum(stops) / len(stops)
+        if linked > 0.4 or "\xa9" in text and len(text) < 200:
+            rule = -1
+        elif len(text) < 70:
+            rule = 0
+        elif share >= 0.2 or share >= 0.1 and len(text) >= 200:
+            rule = 1
+        else:
+            rule = -1 if share < 0.05 and len(text) < 200 else 0
+        hint = -1 if ad or {"nav", "footer"} & set(tags) else 1 if "article" in tags else 0
+        label = rule if rule != -hint else -1 if hint < 0 else 0
+        rows.append((text, label, hint, tags[-1:] in (["h1"], ["h2"], ["h3"])))
+    kept = []
+    for i, (text, label, hint, heading) in enumerate(rows):
+        seen = [(abs(j - i), j > i, other) for j, (_, other, place, _) in enumerate(rows)
+                if other and (place == hint or not hint)]
+        if heading and not label and any(after for _, after, _ in seen):
+            seen = [one for one in seen if one[1]]
+        least = min((distance for distance, _, _ in seen), default=None)
+        near = [other for distance, _, other in seen if distance == least]
+        if label == 1 or not label and (all(other == 1 for other in near) if near else hint >= 0):
+            kept.append(text)
+    return "\n".join(kept)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +215,61 @@ def test_pages():
     assert html_text.main_text("<p>cut <b>off <i") == "cut off" and html_text.main_text("<!-- " + "x" * 100_000) == ""
 
 
+def test_pages_plain_version():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    for page in [*pages, *map(without_names, pages)]:
+        assert html_text.main_text(page) == brute.main_text(page)
+
+
+def without_names(page):
+    """The page with nothing that tells what its elements hold."""
+    return re.sub(r"<(/?)(?:nav|article|footer)\b", r"<\1div", re.sub(r'\s(?:class|id|role)="[^"]*"', "", page))
+
+
+def test_pages_are_decided_by_rules():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    found = [block for page in pages for block in html_text.labelled(page)]
+    decided = [block for block in found if block[1] and block[3] == (block[1] == html_text.GOOD)]
+    assert len(decided) > 0.6 * len(found), "by their text alone, as kept in the end"
+    lost = added = whole = 0
+    for page in pages:
+        named = html_text.main_text(page).split("\n")
+        bare = html_text.main_text(without_names(page)).split("\n")
+        whole += sum(map(len, named))
+        lost += sum(map(len, (Counter(named) - Counter(bare)).elements()))
+        added += sum(map(len, (Counter(bare) - Counter(named)).elements()))
+    assert lost < 0.06 * whole and added < 0.01 * whole
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div class="content with-sidebar"><article><p>A</p></article></div><aside>x</aside>', "A"),
+    ('<div id="search-results-page"><main><p>A</p></main></div>', "A"),
+    ("<form><div><article><p>A</p><nav>m</nav></article></div></form>", "A"),
+    ("<article>A</article><div class=related><article>B</article></div>", "A"),
+    ('<main><p>A</p><article class="comment">B</article></main>', "A"),
+    ("<div class=comments><article>B</article></div>", ""),
+    ("<div class=content-ad><p>B</p></div><div id=main><p>A</p></div>", "A"),
+    ("<article>A</article><div><a href=x><h3>More of the best</h3><p>and of all that is in the world</p></a></div>", "A"),
+    ("<div><a href=x>B<div>B</div></div><article><p>A</p></article>", "A"),
+    ("<article><h1>T</h1><ul><li><a href=x>A</a></li></ul></article>", "T\nA"),
+    ("<div hidden><p>B</p></div>", ""),
+])
+def test_pages_containers(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_pages_odd(spark):
+    prose = "It was the best of the times and it was the worst of the times for all of us in the town. "
+    deep = "<div>" * 3000 + "deep" + "</div>" * 3000
+    long = "<article>" + f"<p>{prose}</p>" * 20_000 + "</article>"
+    rows = [(1, "u", deep), (2, None, long), (3, "u", "<p>" + prose * 20_000), (4, "u", "<<>><a <b> &#0; &bogus;")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    made = by_id(html_text.extracted(table).withColumnRenamed("page_id", "doc_id"), "text", "n_chars")
+    assert made[1] == ("deep", 4) and made[2][0].split("\n") == [prose.strip()] * 20_000
+    assert made[3][0] == (prose * 20_000).strip() and len(made) == 4
+    assert html_text.extracted(table.limit(0)).count() == 0
+
+
 def test_pages_table(spark):
     rows = [(1, "u", "<article>A</article>", "t"), (1, "u", "<article>A</article>", "t"), (None, None, None, None)]
     found = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
