@@ -321,15 +321,45 @@ def test_secret_network(spark, odd, none):
     draws = np.random.default_rng(8)
     hexes = ["".join(draws.choice(list("0123456789abcdef"), 40)) for _ in range(300)]
     found = [(i, f"set token = {h} and go on") for i, h in enumerate(hexes)]
-    plain = [(1000 + i, "the " + "".join(draws.choice(["ing", "her", "tion", "ent"], 5)) + " of it") for i in range(300)]
-    upper = [(5000, "the key is " + "0123456789ABCDEF4E9A07BB17D3C2A5" + " and go on")]
+    plain = [(1000 + i, "the " + "".join(draws.choice(["ing", "her", "tion", "ent"], 5)) + " of it") for i in range(600)]
+    upper = [(5000 + i, f"the key is {h[:32].upper()} and go on") for i, h in enumerate(hexes[:3])]
+    upper.append((5003, "the key is 0123456789ABCDEF4E9A07BB17D3C2A5 and go on"))
     df = spark.createDataFrame(found + plain + upper, "doc_id long, text string").repartition(4)
-    made = by_id(secrets.secrets(df), "n_assign", "spans")
+    made = by_id(secrets.secrets(df), "n_assign", "spans", "network_used", "network_recall", "network_alarms")
     assert all(made[i][0] == 1 for i, _ in found)
     assert sum("network" in made[i][1] for i, _ in plain) <= 3
+    assert all(made[i][:2] == (0, "network:11:43") for i, _ in upper), "no pattern finds these"
+    assert made[0][2] and made[0][3] >= 0.9 and made[0][4] <= 0.01
     assert secrets.secrets(odd).count() == len(ROWS) and secrets.secrets(none).count() == 0
 
 
+def test_secret_threshold_keeps_its_recall():
+    draws = np.random.default_rng(9)
+    letters = list("abcdefghijklmnop")
+    codes = secrets.encode([w for _ in range(400) for w in secrets.windows("".join(draws.choice(letters, 20)), 0, 20)])
+    for n in (1, 16, 100):
+        labels = (np.arange(400) < n).astype(np.float32)  # nothing tells them apart
+        network = secrets.Network()
+        network.calibrate(codes, labels, 0.95)
+        assert (network.probability(codes)[labels == 1] >= network.threshold).mean() >= 0.95 - 1e-9
+        network.measure(codes, labels, 0.01)
+        assert network.recall >= 0.95 and network.alarms > 0.01 and not network.used
+
+
+def test_secret_windows_are_all_learned(spark):
+    """Every window of a long candidate is sampled, with its own label."""
+    text = "x" * 12 + "/" + "Z" * 67 + "/" + "0123456789abcdef" * 5 + " end"
+    found = secrets.find_base(spark.createDataFrame([(1, text), (2, text), (None, None)], "doc_id long, text string"))
+    sample = secrets.labelled_sample(found, 10, 10)
+    places = secrets.pieces(0, 161)
+    assert [stop - start for start, stop in places] == [40, 40, 40, 40, 1]
+    expected = [(int(stop > 81), window) for (_, stop), window in zip(places, secrets.windows(text, 0, 161))]
+    assert sorted((label, window) for label, _, window in sample) == sorted(expected)
+    assert len(secrets.labelled_sample(found, 1, 1)) == 2
+    bare = secrets.masked(secrets.encode([expected[1][1]]))
+    assert not bare[0, : secrets.AROUND].any() and not bare[0, -secrets.AROUND :].any() and bare[0, secrets.AROUND :][:40].all()
+
+
 def test_quality_judges_the_last_chunk():
     judge = quality_rules.Judge(quality_rules.Bands())
     draws = np.random.default_rng(4)
