@@ -1,7 +1,10 @@
 """Training corpus from the documents: clean, deduplicate, mask, mix and tokenize.
 
 Each stage gets the documents that the stage before kept and returns documents with the
-same columns; the last one adds ``piece_ids``.
+same columns; the last one adds ``piece_ids``. Columns may have any other names and types.
+Null and empty texts go in the first stage. Rows without an id are never linked with
+others and stay; rows that share an id are one document and stay or go together. Empty tables
+give empty tables.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8), that of the smallest id."""
     return minhash.drop_near_duplicates(docs, width=5)
 
 
@@ -29,7 +32,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them, 0 to 2 times."""
+    """Documents as often as the mix of sources takes them, 0 to 2 times; null sources are one source."""
     return mixing.mixed_documents(docs)
 
 
