@@ -13,7 +13,9 @@ passage count once and prove nothing.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -28,8 +30,6 @@ KINDS = ("email", "ip", "card", "phone", "term")
 MARKS = ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>", "<TERM>")
 # Words looked at on either side of an entity, and the shortest word that counts as a term.
 AROUND, SHORTEST = 4, 4
-# Code points cut out around an entity to find those words.
-_REACH = 400
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -108,21 +108,24 @@ def surroundings(text: str, spans: list[Span]) -> list[tuple[int, str, int, int,
     """(entity, term, start, end, surrounding) for the terms near each span.
 
     Entity and surrounding are hashes. Words next to the entity on both sides make the
-    surrounding; those that lie in a span themselves are no terms.
+    surrounding, however far away they stand; those that lie in a span themselves are no terms.
     """
     out = []
+    words = [m.span() for m in _TERM.finditer(text)]
+    firsts, lasts = [a for a, _ in words], [b for _, b in words]
+    # The furthest end of the spans up to each tells whether one of them reaches into a word.
+    begins = sorted(start for start, _, _ in spans)
+    reached = list(accumulate((end for _, _, end in sorted(spans)), max))
     for start, kind, end in spans:
         entity = xxhash.xxh3_64_intdigest(f"{kind}:{text[start:end]}") - (1 << 63)
-        left = [m for m in _TERM.finditer(text, max(0, start - _REACH), start)][-AROUND:]
-        right = []
-        for m in _TERM.finditer(text, end, end + _REACH):
-            right.append(m)
-            if len(right) == AROUND:
-                break
-        near = [m for m in left + right if not any(a < m.end() and m.start() < b for a, _, b in spans)]
-        words = [m[0].lower() for m in near]
-        where = xxhash.xxh3_64_intdigest("\0".join(words)) - (1 << 63)
-        out += [(entity, word, m.start(), m.end(), where) for word, m in zip(words, near) if len(word) >= SHORTEST]
+        before, behind = bisect_left(firsts, start), bisect_right(lasts, end)
+        # A word that the entity borders on counts with its part outside.
+        left = [(a, min(b, start)) for a, b in words[max(0, before - AROUND) : before]]
+        right = [(max(a, end), b) for a, b in words[behind : behind + AROUND]]
+        places = [(bisect_left(begins, b), a, b) for a, b in left + right]
+        near = [(text[a:b].lower(), a, b) for i, a, b in places if not i or reached[i - 1] <= a]
+        where = xxhash.xxh3_64_intdigest("\0".join(word for word, _, _ in near)) - (1 << 63)
+        out += [(entity, word, a, b, where) for word, a, b in near if len(word) >= SHORTEST]
     return out
 
 
