@@ -16,9 +16,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,9 +30,9 @@ from tallyhouse.session import write_through
 
 MAGIC = b"TLB1"
 _LENGTHS = np.array([[(control >> 2 * i & 3) + 1 for i in range(4)] for control in range(256)], np.uint8)
-# Pieces of texts whose ids a worker remembers, and code points cut into pieces at a time.
-_PIECES_HELD = 900_000
-_AT_A_TIME = 1_000_000
+# Chunks and pieces of texts whose ids a worker remembers, and code points encoded at a time.
+_PIECES_HELD = 1_600_000
+_AT_A_TIME = 3_000_000
 _LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 _STOPS = ".,;:!?#*$%&"
 # The white space of the tokenizer's own pattern.
@@ -40,23 +42,45 @@ _PIECE = re.compile(
 )
 
 
+# White space beside white space, and the mark at which texts are cut into chunks.
+_WHOLE = rf"[{_BLANK}\x1c-\x1f][{_BLANK}\x1c-\x1f]|\x00"
+
+
+def letters_of_bytes() -> np.ndarray:
+    """The code point that a byte-level vocabulary writes each byte as."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = np.zeros(256, "<u2")
+    out[shown] = shown
+    hidden = np.flatnonzero(out == 0)
+    out[hidden] = 256 + np.arange(len(hidden))
+    return out
+
+
 class Encoder:
     """Ids of whole texts. Pieces that the tokenizer takes apart anyway are encoded once and remembered.
 
     A byte-level pre-tokenizer starts anew at a single space, around a single line end, and
-    between a letter and a stop, so the ids of a text are those of its pieces. A text
-    with white space beside white space is encoded whole, and so is every text if the
-    tokenizer splits in another way.
+    between a letter and a stop, so the ids of a text are those of its pieces. Arrow cuts texts
+    at spaces and line ends into chunks and finds the distinct ones; only chunks that are new are
+    cut into pieces. A text with white space beside white space is encoded whole, and so is
+    every text if the tokenizer splits in another way.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         self.tokenizer = Tokenizer.from_file(path)
+        # For single words already written in the vocabulary's letters: its model without the splitting.
+        self.of_words = Tokenizer.from_file(path)
+        self.of_words.pre_tokenizer = WhitespaceSplit()
+        letters = letters_of_bytes()
+        letters[ord("\n")] = ord("\n")
+        self.letters = letters
         self.kind = id_kind(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
-        # Pieces met lately, and those met before them: the rare ones among the latter are forgotten.
+        # Chunks and pieces met lately, and those met before them: the rare ones among the latter are forgotten.
         self.held: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.compressor = zstandard.ZstdCompressor(level=1)
@@ -76,10 +100,12 @@ class Encoder:
 
     def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each piece; words with a space in front go through the tokenizer in one text."""
-        words = [one for one in pieces if one[0] == " " and one[1:].isalpha()]
-        others = [one for one in pieces if not (one[0] == " " and one[1:].isalpha())]
+        words, others = [], []
+        for one in pieces:
+            (words if one[0] == " " and one[1:].isalpha() else others).append(one)
         made = dict(zip(others, self.encode_all(others)))
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, self.kind)
+        shown = self.letters[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.of_words.encode_batch_fast([shown], add_special_tokens=False)[0].ids, self.kind)
         starts = np.flatnonzero(self.spaced[ids])
         data, width = ids.tobytes(), ids.itemsize
         places = (starts * width).tolist()
@@ -93,24 +119,33 @@ class Encoder:
         held, older, end = self.held, self.older, self.end
         if not self.cuts:
             return [one + end for one in self.encode_all(texts)]
-        pieces = list(map(_PIECE.findall, texts))
-        met = set().union(*pieces)
-        missing = met.difference(held)
+        array = pa.array(texts, pa.string())
+        whole = pc.match_substring_regex(array, _WHOLE)
+        encoded_whole = iter(self.encode_all(array.filter(whole).to_pylist()))
+        marked = pc.replace_substring(pc.replace_substring(array.filter(pc.invert(whole)), " ", "\0 "), "\n", "\0\n\0")
+        chunks = pc.split_pattern(marked, "\0")
+        found = chunks.flatten().dictionary_encode()
+        met = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = set(filterfalse(held.__contains__, met))
         known = missing & older.keys()
         held.update(zip(known, map(older.__getitem__, known)))
         missing -= known
-        runs = {one for one in missing if len(one) > 1 and one.isspace()}
-        if runs:
-            pieces = [some if runs.isdisjoint(some) else [text] for some, text in zip(pieces, texts)]
-            met = set().union(*pieces)
-            missing = met.difference(held)
-        held.update(self.encode_pieces(list(missing)))
-        # A small table of this batch's pieces is quicker to look into, time after time, than all.
-        ids_of = dict(zip(met, map(held.__getitem__, met))).__getitem__
-        rows = [b"".join(map(ids_of, some)) + end for some in pieces]
-        # Long pieces, whole texts among them, and runs of white space are met anew each time.
-        for one in missing:
-            if len(one) > 100 or one.isspace():
+        pieces = dict(zip(missing, map(_PIECE.findall, missing)))
+        new = set().union(*pieces.values()).difference(held)
+        known = new & older.keys()
+        held.update(zip(known, map(older.__getitem__, known)))
+        new -= known
+        held.update(self.encode_pieces(list(new)))
+        held.update((one, b"".join(map(held.__getitem__, some))) for one, some in pieces.items() if len(some) != 1)
+        ids = pa.array(list(map(held.__getitem__, met)), pa.binary()).take(found.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
+        data = ids.buffers()[2].to_pybytes() if len(ids) and ids.buffers()[2] is not None else b""
+        borders = places[chunks.offsets.to_numpy()].tolist()
+        cut = iter(map(data.__getitem__, map(slice, borders, borders[1:])))
+        rows = [next(encoded_whole if alone else cut) + end for alone in whole.to_pylist()]
+        # Long pieces are met anew each time.
+        for one in missing | new:
+            if len(one) > 100:
                 del held[one]
         return rows
 

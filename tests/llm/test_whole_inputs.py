@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import public_tokenizers
+import pytest
 
-from tallyhouse.llm import pii, secrets
+from tallyhouse.llm import pii, secrets, token_files
 
 
 def words_around(text, spans):
@@ -58,3 +61,14 @@ def test_secret_network_counts_all_windows(spark, monkeypatch):
     fired = network.probability(secrets.masked(codes)) >= network.threshold
     assert network.recall == fired[labels == 1].mean() and network.alarms == fired[labels == 0].mean()
     assert network.parameters().tolist() == again.parameters().tolist() and network.threshold == again.threshold
+
+
+def test_only_new_chunks_are_cut_and_encoded(monkeypatch):
+    """Chunks met before are looked up as they stand; words go through the model without being split again."""
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    texts = ["Ünal saß, und las.\nDas Öl", " a b\tc  d", "one\0two three", "", "\n", "x \n y", "end ", "日本 wörter ­ x"] * 2
+    whole = [encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2] for text in texts]
+    assert [np.frombuffer(row, encoder.kind).tolist() for row in encoder.rows(texts)] == whole
+    monkeypatch.setattr(token_files, "_PIECE", SimpleNamespace(findall=lambda chunk: pytest.fail(f"cut again: {chunk}")))
+    again = [text for text in texts if len(text) > 9]
+    assert [np.frombuffer(row, encoder.kind).tolist() for row in encoder.rows(again)] == [w for w, t in zip(whole, texts) if len(t) > 9]
