@@ -16,7 +16,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.common import freed
 from tallyhouse.session import write_through
 
 MAGIC = b"TLB1"
 _LENGTHS = np.array([[(control >> 2 * i & 3) + 1 for i in range(4)] for control in range(256)], np.uint8)
-# Chunks and pieces of texts whose ids a worker remembers, and code points encoded at a time.
-_PIECES_HELD = 1_600_000
-_AT_A_TIME = 3_000_000
+# Pieces whose ids a worker remembers, bytes of the longest of them, and bytes of texts encoded at a time.
+_PIECES_HELD = 1_500_000
+_LONGEST_HELD = 200
+_AT_A_TIME = 32_000_000
+# Pieces that go to the tokenizer in one text.
+_JOINED = 100_000
 _LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 _STOPS = ".,;:!?#*$%&"
 # The white space of the tokenizer's own pattern.
@@ -42,8 +45,39 @@ _PIECE = re.compile(
 )
 
 
-# White space beside white space, and the mark at which texts are cut into chunks.
+# For Arrow: white space beside white space, and the mark at which chunks are cut into pieces.
 _WHOLE = rf"[{_BLANK}\x1c-\x1f][{_BLANK}\x1c-\x1f]|\x00"
+_BORDER = rf"({_LATIN})([{_STOPS}])"
+# Pieces that are one word after a space, others after a space, and those without any white space.
+_WORD = rf"\A {_LATIN}+\z"
+_SPACED = rf"\A [^{_BLANK}\x1c-\x1f]+\z"
+_SOLID = rf"\A[^{_BLANK}\x1c-\x1f]+\z"
+
+
+def offsets(array: pa.Array) -> np.ndarray:
+    """Where each string of an array starts in its bytes, and the end of the last."""
+    return np.frombuffer(array.buffers()[1], np.int32, len(array) + 1, 4 * array.offset) if len(array) else np.zeros(1, np.int32)
+
+
+def binary(places: np.ndarray, data: pa.Buffer | bytes | None, kind: pa.DataType = pa.binary()) -> pa.Array:
+    """The array whose values lie in ``data`` between neighbouring ``places``."""
+    data = pa.py_buffer(data or b"") if not isinstance(data, pa.Buffer) else data
+    return pa.Array.from_buffers(kind, len(places) - 1, [None, pa.py_buffer(places.astype(np.int32)), data])
+
+
+def cut_texts(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """Chunks of texts, cut before each space and around each line end, and the number of chunks before each text."""
+    places = offsets(texts)
+    first, last = int(places[0]), int(places[-1])
+    data = texts.buffers()[2] if last > first else b""
+    seen = np.frombuffer(data, np.uint8)[first:last] if last > first else np.zeros(0, np.uint8)
+    borders = np.zeros(len(seen) + 1, bool)
+    np.equal(seen, 32, out=borders[:-1])
+    lines = np.flatnonzero(seen == 10)
+    borders[lines] = borders[lines + 1] = True
+    borders[places - first] = True
+    starts = np.flatnonzero(borders)
+    return binary(starts + first, data, pa.string()), np.searchsorted(starts, places - first)
 
 
 def letters_of_bytes() -> np.ndarray:
@@ -60,10 +94,11 @@ class Encoder:
     """Ids of whole texts. Pieces that the tokenizer takes apart anyway are encoded once and remembered.
 
     A byte-level pre-tokenizer starts anew at a single space, around a single line end, and
-    between a letter and a stop, so the ids of a text are those of its pieces. Arrow cuts texts
-    at spaces and line ends into chunks and finds the distinct ones; only chunks that are new are
-    cut into pieces. A text with white space beside white space is encoded whole, and so is
-    every text if the tokenizer splits in another way.
+    between a letter and a stop, so the ids of a text are those of its pieces. Texts are cut
+    at spaces and line ends into chunks; the distinct ones are cut into pieces, and only pieces not
+    met before go to the tokenizer. All this is done on whole Arrow arrays, without a Python
+    object per chunk or piece. A text with white space beside white space is encoded whole, and so
+    is every text if the tokenizer splits in another way.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -80,9 +115,9 @@ class Encoder:
         self.letters = letters
         self.kind = id_kind(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
-        # Chunks and pieces met lately, and those met before them: the rare ones among the latter are forgotten.
-        self.held: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Pieces met before and their ids.
+        self.pieces = pa.array([], pa.string())
+        self.ids = pa.array([], pa.binary())
         self.compressor = zstandard.ZstdCompressor(level=1)
         described = json.loads(self.tokenizer.to_str())
         splits = described["pre_tokenizer"] or {}
@@ -90,70 +125,127 @@ class Encoder:
             splits.get("type") == "ByteLevel" and splits.get("use_regex", True)
             and not splits.get("add_prefix_space") and not described["normalizer"]
         )
-        # Whether an id starts with a space, which a byte-level vocabulary writes as this letter.
+        # Whether an id starts with a space or a line end, which a byte-level vocabulary writes as these letters.
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
-        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        shown = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.spaced = np.array([one.startswith("\u0120") for one in shown])
+        self.ended = np.array([one.startswith("\u010a") for one in shown])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.kind).tobytes() for one in found]
 
-    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of each piece; words with a space in front go through the tokenizer in one text."""
-        words, others = [], []
-        for one in pieces:
-            (words if one[0] == " " and one[1:].isalpha() else others).append(one)
-        made = dict(zip(others, self.encode_all(others)))
-        shown = self.letters[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-16-le")
-        ids = np.array(self.of_words.encode_batch_fast([shown], add_special_tokens=False)[0].ids, self.kind)
+    def encode_joined(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def encode_each(self, pieces: pa.StringArray) -> pa.BinaryArray:
+        """Ids of each piece; those with white space inside are cut at it."""
+        cut = [_PIECE.findall(one) for one in pieces.to_pylist()]
+        parts = list(set().union(*cut))
+        ids = dict(zip(parts, self.encode_all(parts)))
+        return pa.array([b"".join(map(ids.__getitem__, some)) for some in cut], pa.binary())
+
+    def encode_spaced(self, pieces: pa.StringArray, words: bool) -> pa.BinaryArray:
+        """Ids of pieces that start with their only space, through the tokenizer in one text."""
+        places = offsets(pieces)
+        text = pieces.buffers()[2][int(places[0]) : int(places[-1])]
+        if words:
+            letters = np.insert(self.letters[np.frombuffer(text, np.uint8)], places[1:-1] - places[0], ord("\n"))
+            ids = self.encode_joined(self.of_words, letters.tobytes().decode("utf-16-le"))
+        else:
+            ids = self.encode_joined(self.tokenizer, text.to_pybytes().decode())
         starts = np.flatnonzero(self.spaced[ids])
-        data, width = ids.tobytes(), ids.itemsize
-        places = (starts * width).tolist()
-        made.update(zip(words, map(data.__getitem__, map(slice, places, [*places[1:], len(data)]))))
-        return made
-
-    def rows(self, texts: list[str]) -> list[bytes]:
+        if len(starts) != len(pieces):
+            return self.encode_each(pieces)
+        return binary(np.append(starts, len(ids)) * ids.itemsize, ids.tobytes())
+
+    def encode_solid(self, pieces: pa.StringArray) -> pa.BinaryArray:
+        """Ids of pieces without white space, through the tokenizer as lines of one text."""
+        ids = self.encode_joined(self.tokenizer, "\n".join(pieces.to_pylist()))
+        ends = np.flatnonzero(self.ended[ids])
+        if len(ends) != len(pieces) - 1:
+            return self.encode_each(pieces)
+        places = np.concatenate([[0], ends - np.arange(len(ends)), [len(ids) - len(ends)]])
+        return binary(places * ids.itemsize, ids[~self.ended[ids]].tobytes())
+
+    def encode_pieces(self, pieces: pa.StringArray) -> pa.BinaryArray:
+        """Ids of each piece."""
+        words, spaced, solid = (
+            pc.match_substring_regex(pieces, kind).to_numpy(zero_copy_only=False) for kind in (_WORD, _SPACED, _SOLID)
+        )
+        kinds = np.select([words, spaced, solid], [0, 1, 2], 3)
+        encode = [lambda some: self.encode_spaced(some, True), lambda some: self.encode_spaced(some, False),
+                  self.encode_solid, self.encode_each]
+        order = [np.flatnonzero(kinds == kind) for kind in range(4)]
+        made = [
+            one(pieces.take(pa.array(places[start : start + _JOINED])))
+            for one, places in zip(encode, order) for start in range(0, len(places), _JOINED)
+        ]
+        back = np.empty(len(pieces), np.int64)
+        back[np.concatenate(order)] = np.arange(len(pieces))
+        return pa.concat_arrays([self.ids[:0], *made]).take(pa.array(back))
+
+    def chunk_ids(self, chunks: pa.StringArray) -> pa.BinaryArray:
+        """Ids of each of some distinct chunks."""
+        cut = pc.split_pattern(pc.replace_substring_regex(chunks, _BORDER, "\\1\0\\2"), "\0")
+        known = len(self.pieces)
+        found = pa.concat_arrays([self.pieces, cut.flatten()]).dictionary_encode()
+        pieces, places = found.dictionary, found.indices.slice(known)
+        ids = pa.concat_arrays([self.ids, self.encode_pieces(pieces.slice(known))])
+        made = ids.take(places)
+        # Long pieces are met anew each time; if there are too many, only those met now are remembered.
+        held = np.diff(offsets(pieces)) <= _LONGEST_HELD
+        if len(pieces) > _PIECES_HELD:
+            met = np.zeros(len(pieces), bool)
+            met[places.to_numpy()] = True
+            held &= met
+        self.pieces, self.ids = pieces.filter(pa.array(held)), ids.filter(pa.array(held))
+        return binary(offsets(made)[cut.offsets.to_numpy()], made.buffers()[2])
+
+    def rows(self, texts: list[str] | pa.StringArray) -> list[bytes]:
         """Ids of each text as bytes, the end id last."""
-        if len(self.held) > _PIECES_HELD // 2:
-            self.held, self.older = {}, self.held
-        held, older, end = self.held, self.older, self.end
+        array = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.cuts:
-            return [one + end for one in self.encode_all(texts)]
-        array = pa.array(texts, pa.string())
+            return [one + self.end for one in self.encode_all(array.to_pylist())]
         whole = pc.match_substring_regex(array, _WHOLE)
         encoded_whole = iter(self.encode_all(array.filter(whole).to_pylist()))
-        marked = pc.replace_substring(pc.replace_substring(array.filter(pc.invert(whole)), " ", "\0 "), "\n", "\0\n\0")
-        chunks = pc.split_pattern(marked, "\0")
-        found = chunks.flatten().dictionary_encode()
-        met = found.dictionary.to_numpy(zero_copy_only=False).tolist()
-        missing = set(filterfalse(held.__contains__, met))
-        known = missing & older.keys()
-        held.update(zip(known, map(older.__getitem__, known)))
-        missing -= known
-        pieces = dict(zip(missing, map(_PIECE.findall, missing)))
-        new = set().union(*pieces.values()).difference(held)
-        known = new & older.keys()
-        held.update(zip(known, map(older.__getitem__, known)))
-        new -= known
-        held.update(self.encode_pieces(list(new)))
-        held.update((one, b"".join(map(held.__getitem__, some))) for one, some in pieces.items() if len(some) != 1)
-        ids = pa.array(list(map(held.__getitem__, met)), pa.binary()).take(found.indices)
-        places = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 4 * ids.offset)
-        data = ids.buffers()[2].to_pybytes() if len(ids) and ids.buffers()[2] is not None else b""
-        borders = places[chunks.offsets.to_numpy()].tolist()
+        chunks, places = cut_texts(array.filter(pc.invert(whole)))
+        found = chunks.dictionary_encode()
+        ids = self.chunk_ids(found.dictionary).take(found.indices)
+        borders = offsets(ids)[places].tolist()
+        data = ids.buffers()[2].to_pybytes() if ids.buffers()[2] is not None else b""
         cut = iter(map(data.__getitem__, map(slice, borders, borders[1:])))
-        rows = [next(encoded_whole if alone else cut) + end for alone in whole.to_pylist()]
-        # Long pieces are met anew each time.
-        for one in missing | new:
-            if len(one) > 100:
-                del held[one]
-        return rows
+        return [next(encoded_whole if alone else cut) + self.end for alone in whole.to_pylist()]
 
 
 def id_kind(tokenizer, end_id: int) -> type:
     return np.uint16 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
 
 
+def of_size(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, pa.StringArray]]:
+    """Columns (doc_id, text) of batches, put together or cut so that ``size`` bytes of text are reached; null texts are empty."""
+    parts, total = [], 0
+
+    def done() -> tuple[pa.Array, pa.StringArray]:
+        return tuple(pa.concat_arrays([part.column(i) for part in parts]) for i in range(2))
+
+    for batch in batches:
+        texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
+        batch = pa.RecordBatch.from_arrays([batch.column(0), texts], names=["doc_id", "text"])
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = min(int(np.searchsorted(ends, before + size - total)) + 1, batch.num_rows)
+            parts.append(batch.slice(start, stop - start))
+            total += int(ends[stop - 1]) - before
+            start, before = stop, int(ends[stop - 1])
+            if total >= size:
+                yield done()
+                parts, total = [], 0
+    if parts:
+        yield done()
+
+
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
@@ -170,26 +262,19 @@ def encoded(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
             _encoders[path, end_id] = Encoder(path, end_id)
         encoder = _encoders[path, end_id]
         compress, counts = encoder.compressor.compress, np.zeros(0, np.int64)
-        for batch in batches:
-            names, texts, size = [], [], 0
-            for i in range(batch.num_rows):
-                names.append(batch.column(0)[i].as_py())
-                texts.append(batch.column(1)[i].as_py() or "")
-                size += len(texts[-1])
-                if size >= _AT_A_TIME or i + 1 == batch.num_rows:
-                    rows = encoder.rows(texts)
-                    more = np.bincount(np.frombuffer(b"".join(rows), encoder.kind), minlength=len(counts))
-                    more[: len(counts)] += counts
-                    counts = more
-                    arrays = [pa.array(names, pa.int64()), pa.array(map(compress, rows), pa.binary())]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(names), pa.binary())], schema=schema)
-                    names, texts, size = [], [], 0
+        for names, texts in of_size(batches, _AT_A_TIME):
+            rows = encoder.rows(texts)
+            more = np.bincount(np.frombuffer(b"".join(rows), encoder.kind), minlength=len(counts))
+            more[: len(counts)] += counts
+            counts = more
+            arrays = [names.cast(pa.int64()), pa.array(map(compress, rows), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(names), pa.binary())], schema=schema)
         if len(counts):
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([compress(counts.tobytes())])], schema=schema
             )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, counts binary")
+    return documents.select("doc_id", "text").mapInArrow(freed(run), "doc_id long, ids binary, counts binary")
 
 
 def unzipped(value: pa.Scalar, kind: type) -> np.ndarray:

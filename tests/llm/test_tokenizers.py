@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import HealthCheck, given, settings
@@ -102,3 +105,44 @@ def test_least_weight_is_least_of_all_paths():
     for _ in range(200):
         text = "▁" + "".join(draws.choice(list("abcdx"), 8))
         assert weight(machine.lightest(text)) == pytest.approx(min(map(weight, cuts(text))))
+
+
+def test_new_words_leave_no_python_objects(encoder):
+    """Chunks and pieces stay in Arrow arrays: what is remembered of 30,000 words is no object of Python for each."""
+    letters = "abcdefghij"
+    words = ["".join(letters[int(digit)] for digit in f"{i:05d}") for i in range(30_000)]
+    texts = [" ".join(words[i : i + 300]) + ", and.\n" + words[i] for i in range(0, len(words), 300)]
+    encoder.rows(texts[:1])
+    before = sys.getallocatedblocks()
+    rows = encoder.rows(texts)
+    assert sys.getallocatedblocks() - before < 5_000
+    whole = [one.ids + [2] for one in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(row, encoder.kind).tolist() for row in rows] == whole
+
+
+def test_small_bounds_give_the_same_ids(monkeypatch):
+    """Few pieces remembered, short ones only, two in a text, and texts with the special token."""
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    for name, value in [("_PIECES_HELD", 6), ("_LONGEST_HELD", 5), ("_JOINED", 2)]:
+        monkeypatch.setattr(token_files, name, value)
+    draws = np.random.default_rng(3)
+    assert encoder.rows([]) == [] and encoder.rows([""]) == [encoder.end]
+    for _ in range(60):
+        parts = draws.choice([*PARTS, "<|endoftext|>", " <|endoftext|>", "Word. ", " und\n", " it's"], (8, 9))
+        texts = ["".join(some) for some in parts]
+        whole = [encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2] for text in texts]
+        assert [np.frombuffer(row, encoder.kind).tolist() for row in encoder.rows(texts)] == whole
+        assert all(len(one.encode()) <= 5 for one in encoder.pieces.to_pylist()) and len(encoder.pieces) == len(encoder.ids)
+
+
+def test_texts_are_dealt_by_their_size():
+    texts = ["ab", None, "ü" * 20, "", "c", "d" * 7, "e" * 3, None]
+    for cuts in ([0, 8], [0, 3, 3, 6, 8]):
+        batches = [pa.RecordBatch.from_pydict({"doc_id": list(range(a, b)), "text": pa.array(texts[a:b], pa.string())})
+                   for a, b in zip(cuts, cuts[1:])]
+        for size in (1, 5, 10, 1000):
+            groups = [(ids.to_pylist(), found.to_pylist()) for ids, found in token_files.of_size(iter(batches), size)]
+            assert [i for ids, _ in groups for i in ids] == list(range(8))
+            assert [text for _, found in groups for text in found] == [text or "" for text in texts]
+            assert all(sum(len(t.encode()) for t in found[:-1]) < size for _, found in groups)
+    assert list(token_files.of_size(iter([]), 5)) == []
