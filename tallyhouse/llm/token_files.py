@@ -34,8 +34,9 @@ _LENGTHS = np.array([[(control >> 2 * i & 3) + 1 for i in range(4)] for control
 _PIECES_HELD = 1_500_000
 _LONGEST_HELD = 200
 _AT_A_TIME = 32_000_000
-# Pieces that go to the tokenizer in one text.
+# Pieces that go to the tokenizer in one text, and rows whose ids are counted at a time.
 _JOINED = 100_000
+_COUNTED = 256
 _LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 _STOPS = ".,;:!?#*$%&"
 # The white space of the tokenizer's own pattern.
@@ -96,8 +97,8 @@ class Encoder:
     A byte-level pre-tokenizer starts anew at a single space, around a single line end, and
     between a letter and a stop, so the ids of a text are those of its pieces. Texts are cut
     at spaces and line ends into chunks; the distinct ones are cut into pieces, and only pieces not
-    met before go to the tokenizer. All this is done on whole Arrow arrays, without a Python
-    object per chunk or piece. A text with white space beside white space is encoded whole, and so
+    met before go to the tokenizer. All this is done on whole Arrow arrays, without Python
+    objects for chunks or for pieces met before. A text with white space beside white space is encoded whole, and so
     is every text if the tokenizer splits in another way.
     """
 
@@ -213,9 +214,10 @@ class Encoder:
         found = chunks.dictionary_encode()
         ids = self.chunk_ids(found.dictionary).take(found.indices)
         borders = offsets(ids)[places].tolist()
-        data = ids.buffers()[2].to_pybytes() if ids.buffers()[2] is not None else b""
+        del chunks, found
+        data = memoryview(ids.buffers()[2] or b"")
         cut = iter(map(data.__getitem__, map(slice, borders, borders[1:])))
-        return [next(encoded_whole if alone else cut) + self.end for alone in whole.to_pylist()]
+        return [b"".join((next(encoded_whole if alone else cut), self.end)) for alone in whole.to_pylist()]
 
 
 def id_kind(tokenizer, end_id: int) -> type:
@@ -240,8 +242,9 @@ def of_size(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.A
             total += int(ends[stop - 1]) - before
             start, before = stop, int(ends[stop - 1])
             if total >= size:
-                yield done()
+                group = done()
                 parts, total = [], 0
+                yield group
     if parts:
         yield done()
 
@@ -264,9 +267,11 @@ def encoded(documents: DataFrame, path: str, end_id: int = 2) -> DataFrame:
         compress, counts = encoder.compressor.compress, np.zeros(0, np.int64)
         for names, texts in of_size(batches, _AT_A_TIME):
             rows = encoder.rows(texts)
-            more = np.bincount(np.frombuffer(b"".join(rows), encoder.kind), minlength=len(counts))
-            more[: len(counts)] += counts
-            counts = more
+            for start in range(0, len(rows), _COUNTED):
+                met = np.frombuffer(b"".join(rows[start : start + _COUNTED]), encoder.kind)
+                more = np.bincount(met, minlength=len(counts))
+                more[: len(counts)] += counts
+                counts = more
             arrays = [names.cast(pa.int64()), pa.array(map(compress, rows), pa.binary())]
             yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(names), pa.binary())], schema=schema)
         if len(counts):
